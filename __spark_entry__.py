@@ -24,7 +24,7 @@ from tributary.plans.star import star_transactions as star  # noqa: E402
 from tributary.schemas import BRONZE, RAW, REJECTS  # noqa: E402
 from tributary.sources import read_table, scratch_folder, write_table  # noqa: E402
 from tributary.sources import sample  # noqa: E402
-from tributary.streaming import landing_rows, start_landing, visible_events  # noqa: E402
+from tributary.streaming import landing_table, start_landing, visible_events  # noqa: E402
 from tributary.streaming.envelope import TARGET  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,18 +125,7 @@ def ingest_nonblank(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _landed(table: str) -> Query:
-    columns = ["topic", RAW] if table == REJECTS else BRONZE[table].names
-
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        rows = landing_rows(sample.events(spark, folder)).filter(F.col(TARGET) == table)
-        return rows.select(
-            *[
-                F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c)
-                for c in columns
-            ]
-        )
-
-    return query
+    return lambda spark, folder: landing_table(sample.events(spark, folder), table)
 
 
 def stream_route_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,6 +1,13 @@
 """From event topics to landing tables."""
 
-from tributary.streaming.envelope import landing_rows, visible_events
+from tributary.streaming.envelope import landing_rows, landing_table, visible_events
 from tributary.streaming.landing import event_stream, read_landing, start_landing
 
-__all__ = ["event_stream", "landing_rows", "read_landing", "start_landing", "visible_events"]
+__all__ = [
+    "event_stream",
+    "landing_rows",
+    "landing_table",
+    "read_landing",
+    "start_landing",
+    "visible_events",
+]

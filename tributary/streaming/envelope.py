@@ -52,19 +52,13 @@ def _closed_array(body: Column, item: str, end: str) -> Column:
     return F.from_json(text, f"array<{item}>", STRICT)
 
 
-def _is_other_json(body: Column) -> Column:
-    """True when the body is one JSON value of any kind."""
-    items = _closed_array(body, "string", f'"{END}"')
-    return F.coalesce((F.size(items) == 2) & (F.get(items, F.lit(1)) == END), F.lit(False))
-
-
 def _names_columns(keys: Column, table: Column) -> Column:
-    """True when the lower-cased ``keys`` are distinct columns of ``table``, and there is one."""
+    """True when there are lower-cased ``keys`` and all are columns of ``table``."""
     known = F.lit(False)
-    for name, columns in BRONZE.items():
-        allowed = F.array(*[F.lit(f.name.lower()) for f in columns.fields])
+    for name in PARSED_TABLES:
+        allowed = F.array(*[F.lit(f.name.lower()) for f in BRONZE[name].fields])
         known = F.when(table == name, F.size(F.array_except(keys, allowed)) == 0).otherwise(known)
-    return (F.size(keys) > 0) & known & (F.size(F.array_distinct(keys)) == F.size(keys))
+    return (F.size(keys) > 0) & known
 
 
 def landing_rows(events: DataFrame) -> DataFrame:
@@ -72,36 +66,37 @@ def landing_rows(events: DataFrame) -> DataFrame:
 
     Events of unknown topics are dropped. A column that the target table lacks is NULL.
     """
-    table, body, items = F.col("_table"), F.col("body"), F.col("_items")
+    table, body = F.col("_table"), F.col("body")
+    parses = table.isin(*PARSED_TABLES)
+    items = F.when(parses, _closed_array(body, "map<string,string>", f'{{"{END}":""}}'))
     routed = (
         visible_events(events)
         .withColumn("_table", _table_of(F.col("topic")))
         .filter(table.isNotNull())
+        .withColumn("_items", items)
     )
-    parse = F.when(
-        table.isin(*PARSED_TABLES),
-        _closed_array(body, "map<string,string>", f'{{"{END}":""}}'),
-    )
-    # An object that is the whole body: two items, the second being the marker.
-    marker = F.map_keys(F.get(items, F.lit(1)))
-    whole = (F.size(items) == 2) & (F.get(marker, F.lit(0)) == END)
-    entries = F.when(whole, F.get(items, F.lit(0)))
-    # A repeated key counts once, with its last value: look keys up from the end.
-    spelled = F.array_distinct(F.map_keys(F.col("_entries")))
+
+    # One whole object: two items, the second being the marker.
+    is_marker = F.get(F.map_keys(F.get(F.col("_items"), F.lit(1))), F.lit(0)) == END
+    whole = (F.size("_items") == 2) & is_marker
+    # A repeated key counts once, with its last value: keys are looked up from the end.
     located = (
-        routed.withColumn("_items", parse)
-        .withColumn("_whole", whole)
-        .withColumn("_entries", entries)
-        .withColumn("_names", F.transform(spelled, lambda key: F.lower(key)))
+        routed.withColumn("_whole", F.coalesce(whole, F.lit(False)))
+        .withColumn("_object", F.when(F.col("_whole"), F.get(F.col("_items"), F.lit(0))))
+        .withColumn("_spelled", F.map_keys("_object"))
+        .withColumn("_keys", F.reverse(F.transform("_spelled", lambda key: F.lower(key))))
+        .withColumn("_values", F.reverse(F.map_values("_object")))
+        # Only a body that is no object needs the second look for other JSON values.
         .withColumn(
-            "_keys", F.reverse(F.transform(F.map_keys("_entries"), lambda key: F.lower(key)))
+            "_other",
+            F.when(parses & ~F.col("_whole"), _closed_array(body, "string", f'"{END}"')),
         )
-        .withColumn("_values", F.reverse(F.map_values("_entries")))
     )
+    same_spelling = F.size(F.array_distinct("_spelled")) == F.size(F.array_distinct("_keys"))
+    other = (F.size("_other") == 2) & (F.get(F.col("_other"), F.lit(1)) == END)
     kind = (
-        F.when(~table.isin(*PARSED_TABLES), RAW_KIND)
-        .when(_names_columns(F.col("_names"), table), PARSED)
-        .when(F.col("_whole") | _is_other_json(body), REJECT)
+        F.when(_names_columns(F.col("_keys"), table) & same_spelling, PARSED)
+        .when(F.col("_whole") | other, REJECT)
         .otherwise(RAW_KIND)
     )
 
@@ -110,15 +105,30 @@ def landing_rows(events: DataFrame) -> DataFrame:
         return F.get(F.col("_values"), (position - 1).cast("int"))
 
     is_parsed = F.col("_kind") == PARSED
-    # `raw_data` is itself a column of every table, so a body may name it.
-    raw = F.when(is_parsed, value(RAW)).otherwise(body)
-    return located.withColumn("_kind", kind).select(
-        F.when(F.col("_kind") == REJECT, REJECTS).otherwise(table).alias(TARGET),
-        F.col("topic"),
+    target = F.when(F.col("_kind") == REJECT, REJECTS).otherwise(table)
+    # Generated rather than projected, so that a filter on the target stays above the parser; the
+    # optimizer would move it below a projection and classify every body twice.
+    classified = located.withColumn("_kind", kind).withColumn(TARGET, F.explode(F.array(target)))
+    return classified.select(
+        TARGET,
+        "topic",
         *[
             F.when(is_parsed & (table == name), value(column)).alias(column)
             for name, columns in _LANDED.items()
             for column in columns
         ],
-        raw.alias(RAW),
+        # `raw_data` is itself a column of every table, so a body may name it.
+        F.when(is_parsed, value(RAW)).otherwise(body).alias(RAW),
+    )
+
+
+def landing_table(events: DataFrame, table: str) -> DataFrame:
+    """The rows of one landing table, or the rejects with their topic."""
+    tables = PARSED_TABLES if table == REJECTS else [table]
+    topics = [topic for topic, target in TOPICS.items() if target in tables]
+    names = ["topic", RAW] if table == REJECTS else BRONZE[table].names
+    rows = landing_rows(events.filter(F.col("topic").isin(topics))).filter(F.col(TARGET) == table)
+    present = set(rows.columns)
+    return rows.select(
+        *[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in names]
     )

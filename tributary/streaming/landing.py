@@ -48,6 +48,11 @@ def start_landing(
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
+        # One open file per target and task, so rows need no sort by target before the write. The
+        # session of a batch belongs to this stream alone.
+        batch.sparkSession.conf.set(
+            "spark.sql.maxConcurrentOutputFileWriters", str(len(TOPICS) + 1)
+        )
         landing_rows(batch).write.mode("overwrite").partitionBy(TARGET).parquet(
             f"{landing}/batch={batch_id}"
         )
