@@ -147,12 +147,14 @@ def parquet_payloads(spark: SparkSession, folder: str) -> DataFrame:
 def run_all(spark: SparkSession, folder: str) -> DataFrame:
     """Write bronze, refresh silver and gold, and count the rows of every gold table."""
     root = scratch_folder(spark)
-    bronze, silver_root, gold_root = (f"{root}/{layer}" for layer in ("bronze", "silver", "gold"))
+    lake = refresh.Lakehouse(
+        spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", as_of=AS_OF, loaded_at=LOADED_AT
+    )
     for entity, build in sample.BRONZE_TABLES.items():
-        write_table(build(spark, folder), bronze, entity)
-    refresh.run_all(spark, bronze, silver_root, gold_root, as_of=AS_OF, loaded_at=LOADED_AT)
+        write_table(build(spark, folder), lake.bronze, entity)
+    refresh.run_all(lake)
     counts = [
-        read_table(spark, gold_root, name).agg(F.count("*").alias("table_rows")).select(
+        read_table(spark, lake.gold, name).agg(F.count("*").alias("table_rows")).select(
             F.lit(name).alias("gold_table"), "table_rows"
         )
         for name in refresh.GOLD_TABLES

@@ -31,7 +31,10 @@ def enrich(
         per_key.filter(F.col(_HOT).isNull() | ((F.col(_ROWS) >= min_hot_rows) & share)).select(_HOT)
     )
     is_hot = F.col(key).eqNullSafe(F.col(_HOT))
-    hot_dimension = F.broadcast(dimension.join(hot, F.col(key) == F.col(_HOT), "left_semi"))
+    # The null-safe comparison keeps a NOT NULL filter from reaching the counts: they stay the same
+    # plan in all three places and run once.
+    keyed = dimension.filter(F.col(key).isNotNull())
+    hot_dimension = F.broadcast(keyed.join(hot, is_hot, "left_semi"))
 
     in_place = facts.join(hot, is_hot, "left_semi").join(hot_dimension, key, "left")
     shuffled = facts.join(hot, is_hot, "left_anti").join(dimension, key, "left")
