@@ -15,7 +15,7 @@ def scratch_folder(spark: SparkSession) -> str:
 
     Only a local session may do without the setting; elsewhere executors would not see the folder.
     """
-    root = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
+    root = spark.conf.get(SETTING, None)
     if root:
         return f"{root.rstrip('/')}/tributary-{uuid.uuid4().hex}"
     if spark.sparkContext.master.startswith("local"):
