@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import json
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from tributary.plans.silver import silver_transactions
 from tributary.schemas import BRONZE, REJECTS, TOPICS
 from tributary.sources import sample
 from tributary.streaming import (
+    database_sink,
+    event_stream,
     landing_rows,
     landing_table,
     read_landing,
@@ -226,10 +231,64 @@ def test_a_replayed_batch_replaces_itself(spark, tmp_path):
 
 
 def test_landing_feeds_silver(spark, tmp_path):
-    from tributary.plans.silver import silver_transactions
-
     source, landing = tmp_path / "in", str(tmp_path / "landing")
     write_events(source, "1.json", '{"transaction_id":"T","account_id":"A","amount":2.5}', "oops")
     tables = run_once(spark, event_folder(spark, source), landing)
     rows = silver_transactions(tables["transactions"]).select("Transaction_ID", F.col("Amount"))
     assert [tuple(r) for r in rows.collect()] == [("T", 2.5)]
+
+
+def test_database_sink_appends_each_table_with_its_columns(spark, tmp_path, monkeypatch):
+    """Everything but the connection: the writer is replaced by one that collects."""
+    written = {}
+
+    def append(self, url, table, mode, properties):
+        assert (url, mode, properties) == ("jdbc:x", "append", {"user": "u"})
+        written[table] = (self._df.columns, [tuple(r) for r in self._df.collect()])
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", append)
+    write_events(tmp_path / "in", "1.json", '{"amount":1}', "[]")
+    start_landing(
+        event_folder(spark, tmp_path / "in"),
+        str(tmp_path / "landing"),
+        trigger=DRAIN,
+        sink=database_sink("jdbc:x", {"user": "u"}),
+    ).awaitTermination()
+    assert {t: columns for t, (columns, _) in written.items() if t != REJECTS} == {
+        table: schema.names for table, schema in BRONZE.items()
+    }
+    assert written["transactions"][1] == [(None, None, None, "1", None, None, None, None)]
+    assert written[REJECTS] == (["topic", "raw_data"], [(TX, "[]")])
+
+
+def test_topics_are_read_from_their_beginning(spark):
+    options = {}
+
+    class Reader:
+        def format(self, name):
+            options["format"] = name
+            return self
+
+        def option(self, key, value):
+            options[key] = value
+            return self
+
+        def options(self, **more):
+            options.update(more)
+            return self
+
+        def load(self):
+            return self
+
+        def select(self, *columns):
+            return options
+
+    session = SimpleNamespace(readStream=Reader())
+    assert event_stream(session, "host:9092", maxOffsetsPerTrigger="5") == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "customers-topic,accounts-topic,transactions-topic,branches-topic",
+        "startingOffsets": "earliest",
+        "maxRecordsPerPartition": "1000000",
+        "maxOffsetsPerTrigger": "5",
+    }

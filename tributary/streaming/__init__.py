@@ -1,10 +1,18 @@
 """From event topics to landing tables."""
 
 from tributary.streaming.envelope import landing_rows, landing_table, visible_events
-from tributary.streaming.landing import event_stream, read_landing, start_landing
+from tributary.streaming.landing import (
+    database_sink,
+    event_stream,
+    folder_sink,
+    read_landing,
+    start_landing,
+)
 
 __all__ = [
+    "database_sink",
     "event_stream",
+    "folder_sink",
     "landing_rows",
     "landing_table",
     "read_landing",

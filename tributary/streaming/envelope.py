@@ -122,13 +122,25 @@ def landing_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def landing_table(events: DataFrame, table: str) -> DataFrame:
-    """The rows of one landing table, or the rejects with their topic."""
-    tables = PARSED_TABLES if table == REJECTS else [table]
-    topics = [topic for topic, target in TOPICS.items() if target in tables]
-    names = ["topic", RAW] if table == REJECTS else BRONZE[table].names
-    rows = landing_rows(events.filter(F.col("topic").isin(topics))).filter(F.col(TARGET) == table)
+def table_columns(table: str) -> list[str]:
+    """Columns of a landing table; rejects have their topic and body."""
+    return ["topic", RAW] if table == REJECTS else BRONZE[table].names
+
+
+def landing_columns(rows: DataFrame, table: str) -> DataFrame:
+    """Landing rows of one table cut to its columns, those never filled being NULL."""
     present = set(rows.columns)
     return rows.select(
-        *[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in names]
+        *[
+            F.col(c) if c in present else F.lit(None).cast("string").alias(c)
+            for c in table_columns(table)
+        ]
     )
+
+
+def landing_table(events: DataFrame, table: str) -> DataFrame:
+    """One landing table, or the rejects, straight from events; other topics are not parsed."""
+    tables = PARSED_TABLES if table == REJECTS else [table]
+    topics = [topic for topic, target in TOPICS.items() if target in tables]
+    rows = landing_rows(events.filter(F.col("topic").isin(topics)))
+    return landing_columns(rows.filter(F.col(TARGET) == table), table)

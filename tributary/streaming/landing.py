@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from tributary.schemas import BRONZE, REJECTS, TOPICS
-from tributary.streaming.envelope import TARGET, landing_rows
+from tributary.streaming.envelope import TARGET, landing_columns, landing_rows, table_columns
 
 CADENCE = "10 minutes"
 
+Sink = Callable[[DataFrame, int], None]
+
 
 def event_stream(spark: SparkSession, servers: str, **options: str) -> DataFrame:
     """The four topics from their beginning as ``(topic, body)``; needs the Kafka connector.
 
+    A topic partition with more than ``maxRecordsPerPartition`` records is read by several tasks.
     Pass ``maxOffsetsPerTrigger`` to bound a micro-batch when there is a backlog.
     """
     return (
@@ -25,26 +28,17 @@ def event_stream(spark: SparkSession, servers: str, **options: str) -> DataFrame
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(TOPICS))
         .option("startingOffsets", "earliest")
+        .option("maxRecordsPerPartition", "1000000")
         .options(**options)
         .load()
         .select("topic", F.col("value").cast("string").alias("body"))
     )
 
 
-def start_landing(
-    events: DataFrame,
-    landing: str,
-    checkpoint: str | None = None,
-    trigger: Mapping[str, object] | None = None,
-) -> StreamingQuery:
-    """Append events to the landing tables under ``landing``.
-
-    Each micro-batch is read and classified once and written by one job, as folder
-    ``batch=<id>/target=<table>``. A batch that is retried after a failure replaces its own folder,
-    so no event lands twice. The checkpoint sits inside ``landing`` by default: batch ids only mean
-    something together with the checkpoint that issued them.
+def folder_sink(landing: str) -> Sink:
+    """S3: each batch as folder ``batch=<id>/target=<table>``, written by one job.
 
-    ``trigger`` defaults to every ten minutes; use ``{"availableNow": True}`` to drain and stop.
+    A batch that is retried after a failure replaces its own folder, so no event lands twice.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
@@ -57,8 +51,45 @@ def start_landing(
             f"{landing}/batch={batch_id}"
         )
 
+    return land
+
+
+def database_sink(url: str, properties: Mapping[str, str]) -> Sink:
+    """S3: append to database tables of the same names, and to ``rejects``.
+
+    The source is read once for all five tables. An append cannot replace what a failed attempt
+    already wrote, so a retried batch may land twice.
+    """
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        rows = landing_rows(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for table in [*BRONZE, REJECTS]:
+                landing_columns(rows.filter(F.col(TARGET) == table), table).write.jdbc(
+                    url, table, mode="append", properties=dict(properties)
+                )
+        finally:
+            rows.unpersist()
+
+    return land
+
+
+def start_landing(
+    events: DataFrame,
+    landing: str,
+    checkpoint: str | None = None,
+    trigger: Mapping[str, object] | None = None,
+    sink: Sink | None = None,
+) -> StreamingQuery:
+    """Append events to the landing tables, by default as folders under ``landing``.
+
+    Each micro-batch is read and classified once. The checkpoint sits inside ``landing`` unless
+    given: batch ids only mean something together with the checkpoint that issued them.
+
+    ``trigger`` defaults to every ten minutes; use ``{"availableNow": True}`` to drain and stop.
+    """
     return (
-        events.writeStream.foreachBatch(land)
+        events.writeStream.foreachBatch(sink or folder_sink(landing))
         .option("checkpointLocation", checkpoint or f"{landing}/_checkpoint")
         .trigger(**(trigger or {"processingTime": CADENCE}))
         .start()
@@ -67,11 +98,7 @@ def start_landing(
 
 def read_landing(spark: SparkSession, landing: str, table: str) -> DataFrame:
     """One landing table with exactly its own columns, or the rejects with their topic."""
-    columns = (
-        StructType().add("topic", "string").add("raw_data", "string")
-        if table == REJECTS
-        else BRONZE[table]
-    )
-    located = StructType([*columns.fields]).add("batch", "long").add(TARGET, "string")
-    rows = spark.read.schema(located).parquet(landing).filter(F.col(TARGET) == table)
-    return rows.select(columns.names)
+    columns = [*table_columns(table), "batch", TARGET]
+    schema = ", ".join(f"{name} {'long' if name == 'batch' else 'string'}" for name in columns)
+    rows = spark.read.schema(schema).parquet(landing).filter(F.col(TARGET) == table)
+    return rows.select(table_columns(table))
