@@ -9,7 +9,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import reduce
+from functools import partial, reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -150,8 +150,12 @@ def run_all(spark: SparkSession, folder: str) -> DataFrame:
     lake = refresh.Lakehouse(
         spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", as_of=AS_OF, loaded_at=LOADED_AT
     )
-    for entity, build in sample.BRONZE_TABLES.items():
-        write_table(build(spark, folder), lake.bronze, entity)
+    refresh.side_by_side(
+        *(
+            partial(write_table, build(spark, folder), lake.bronze, entity)
+            for entity, build in sample.BRONZE_TABLES.items()
+        )
+    )
     refresh.run_all(lake)
     counts = [
         read_table(spark, lake.gold, name).agg(F.count("*").alias("table_rows")).select(

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tributary.plans import gold
 from tributary.plans.silver import SILVER_TABLES
+from tributary.schemas import SILVER
 from tributary.sources.scratch import scratch_folder
 from tributary.sources.tables import read_bronze, read_table, write_table
 
@@ -48,14 +51,25 @@ class Lakehouse:
     def refresh_silver(self, entity: str) -> DataFrame:
         rows = SILVER_TABLES[entity](read_bronze(self.spark, self.bronze, entity))
         write_table(rows, self.silver, entity)
-        return read_table(self.spark, self.silver, entity)
+        return read_table(self.spark, self.silver, entity, schema=SILVER[entity])
 
-    def save(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a gold table and return it as read back, so what builds on it starts there."""
+    def save(self, name: str, df: DataFrame) -> None:
         write_table(df, self.gold, name, self.fmt)
+
+    def saved(self, name: str) -> DataFrame:
         return read_table(self.spark, self.gold, name, self.fmt)
 
 
+def side_by_side(*steps: Callable[[], object]) -> None:
+    """Submit the jobs of independent steps together; the first failure is raised.
+
+    The tail of one job then leaves its executors to the next instead of idling them.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
 def refresh_customers(lake: Lakehouse) -> None:
     customers = lake.refresh_silver("customers")
     lake.save("dim_customer", gold.dim_customer(customers, lake.loaded_at))
@@ -63,29 +77,50 @@ def refresh_customers(lake: Lakehouse) -> None:
 
 def refresh_accounts(lake: Lakehouse) -> None:
     accounts = lake.refresh_silver("accounts")
-    lake.save("dim_account", gold.dim_account(accounts))
-    facts = {name: lake.save(name, fact(accounts)) for name, fact in gold.ACCOUNT_FACTS.items()}
-    lake.save("fact_account_metrics", gold.account_metrics(facts))
+
+    def facts() -> None:
+        side_by_side(
+            *(partial(lake.save, name, fact(accounts)) for name, fact in gold.ACCOUNT_FACTS.items())
+        )
+        saved = {name: lake.saved(name) for name in gold.ACCOUNT_FACTS}
+        lake.save("fact_account_metrics", gold.account_metrics(saved))
+
+    side_by_side(partial(lake.save, "dim_account", gold.dim_account(accounts)), facts)
 
 
 def refresh_branches(lake: Lakehouse) -> None:
     branches = lake.refresh_silver("branches")
-    lake.save("dim_branch", gold.dim_branch(branches))
-    lake.save("fact_branch_country", gold.fact_branch_country(branches, lake.as_of))
-    lake.save("fact_branch_city", gold.fact_branch_city(branches))
+    side_by_side(
+        partial(lake.save, "dim_branch", gold.dim_branch(branches)),
+        partial(lake.save, "fact_branch_country", gold.fact_branch_country(branches, lake.as_of)),
+        partial(lake.save, "fact_branch_city", gold.fact_branch_city(branches)),
+    )
 
 
 def refresh_transactions(lake: Lakehouse) -> None:
     """Three of the four facts come from one pass over the transactions, by way of subtotals."""
     transactions = lake.refresh_silver("transactions")
-    lake.save("dim_transaction", gold.dim_transaction(transactions))
-    lake.save("dim_account_transaction_type", gold.dim_account_transaction_type(transactions))
-    lake.save("fact_transaction_account", gold.fact_transaction_account(transactions))
-    staging = scratch_folder(lake.spark)
-    write_table(gold.transaction_subtotals(transactions), staging, "subtotals")
-    subtotals = read_table(lake.spark, staging, "subtotals")
-    for name, fact in gold.transaction_facts(subtotals).items():
-        lake.save(name, fact)
+
+    def facts() -> None:
+        staging = scratch_folder(lake.spark)
+        write_table(gold.transaction_subtotals(transactions), staging, "subtotals")
+        subtotals = read_table(lake.spark, staging, "subtotals")
+        side_by_side(
+            *(partial(lake.save, *fact) for fact in gold.transaction_facts(subtotals).items())
+        )
+
+    side_by_side(
+        partial(lake.save, "dim_transaction", gold.dim_transaction(transactions)),
+        partial(
+            lake.save,
+            "dim_account_transaction_type",
+            gold.dim_account_transaction_type(transactions),
+        ),
+        partial(
+            lake.save, "fact_transaction_account", gold.fact_transaction_account(transactions)
+        ),
+        facts,
+    )
 
 
 ENTITIES = (refresh_transactions, refresh_accounts, refresh_customers, refresh_branches)
@@ -94,10 +129,7 @@ ENTITIES = (refresh_transactions, refresh_accounts, refresh_customers, refresh_b
 def run_all(lake: Lakehouse) -> None:
     """Refresh every table.
 
-    The four entities share nothing until the star join, so their jobs are submitted side by side
-    and the tail of one leaves its executors to the others. Each table starts from tables on disk: a
-    lost executor costs a few tasks of one table. The first failure is raised.
+    The four entities share nothing until the star join. Each table starts from tables on disk, so a
+    lost executor costs a few tasks of one table.
     """
-    with ThreadPoolExecutor(len(ENTITIES)) as pool:
-        for done in [pool.submit(refresh, lake) for refresh in ENTITIES]:
-            done.result()
+    side_by_side(*(partial(refresh, lake) for refresh in ENTITIES))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tributary.schemas import BRONZE
 
@@ -12,9 +13,16 @@ def read_bronze(spark: SparkSession, root: str, entity: str) -> DataFrame:
     return spark.read.schema(BRONZE[entity]).parquet(f"{root}/{entity}")
 
 
-def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """A silver or gold table with the schema its files carry."""
-    return spark.read.format(fmt).load(f"{root}/{name}")
+def read_table(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    fmt: str = "parquet",
+    schema: StructType | None = None,
+) -> DataFrame:
+    """A silver or gold table, with the schema its files carry unless one is given."""
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema else reader).load(f"{root}/{name}")
 
 
 def write_table(df: DataFrame, root: str, name: str, fmt: str = "parquet") -> None:
