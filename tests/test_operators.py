@@ -140,37 +140,51 @@ keys = st.one_of(st.none(), st.sampled_from(["hot", "a", "b", "unknown"]))
 
 
 @few
-@given(st.lists(keys, max_size=25), st.integers(1, 6), st.integers(1, 4))
-def test_enrich_equals_a_left_join(spark, found, min_hot_rows, max_hot_keys):
+@given(st.lists(keys, max_size=25), st.integers(1, 6), st.integers(1, 20))
+def test_enrich_equals_a_left_join(spark, found, min_part_rows, max_parts):
     facts = spark.createDataFrame([(k, i) for i, k in enumerate(found)], "k string, i int")
     dimension = spark.createDataFrame(
         [("hot", 1), ("a", 2), ("b", 3), (None, 4)], "k string, attribute int"
     )
-    got = enrich(facts, dimension, "k", max_hot_keys=max_hot_keys, min_hot_rows=min_hot_rows)
+    got = enrich(facts, dimension, "k", max_parts=max_parts, min_part_rows=min_part_rows)
     assert values(got) == values(facts.join(dimension, "k", "left"))
 
 
-def test_hot_rows_meet_a_broadcast_and_the_rest_a_shuffle(spark):
-    """Two thirds of the rows have one key; the join must not depend on automatic broadcasts."""
-    facts = spark.range(9000).select(
-        F.when(F.col("id") % 3 > 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id"
-    )
+@pytest.fixture
+def plain_plans(spark):
+    """Plans as written: no runtime re-planning and no automatic broadcasts."""
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("hot", [-1, None])
+def test_a_hot_key_is_spread_over_tasks(spark, plain_plans, hot):
+    """Two thirds of the rows are exact copies with one key, or with none."""
+    rows = F.when(F.col("id") % 3 == 0, F.col("id"))
+    facts = spark.range(0, 9000, 1, 16).select(F.coalesce(rows, F.lit(hot)).alias("k"))
     dimension = spark.range(-1, 9000).select(F.col("id").alias("k"), F.lit("x").alias("a"))
-    setting = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "-1")
-    try:
-        df = enrich(facts, dimension, "k", max_hot_keys=10, min_hot_rows=1000)
-        joins = re.findall(r"(\w+Join) .*?(LeftOuter|LeftSemi|LeftAnti)", plan_of(df))
-        assert df.count() == 9000 and df.filter("a is null").count() == 0
-    finally:
-        spark.conf.set(setting, before)
-    assert joins == [
-        ("SortMergeJoin", "LeftOuter"),  # the cold rows,
-        ("BroadcastHashJoin", "LeftAnti"),  # which are those without a hot key
-        ("BroadcastHashJoin", "LeftOuter"),  # the hot rows, where they are,
-        ("BroadcastHashJoin", "LeftSemi"),  # which are those with a hot key,
-        ("BroadcastHashJoin", "LeftSemi"),  # against the hot part of the dimension
+    df = enrich(facts, dimension, "k", max_parts=100, min_part_rows=500)
+    assert df.filter("a is not null").count() == (9000 if hot else 3000)
+    assert df.count() == 9000
+    largest = df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    assert largest < 6000 / 2
+
+
+def test_only_the_few_hot_keys_are_broadcast(spark, plain_plans):
+    facts = spark.range(100).withColumnRenamed("id", "k")
+    plan = plan_of(enrich(facts, facts.withColumn("a", F.lit(1)), "k"))
+    assert re.findall(r"(\w+Join) .*?(Left\w+|Inner)", plan) == [
+        ("SortMergeJoin", "LeftOuter"),  # facts and dimension, by key and part,
+        ("BroadcastHashJoin", "LeftOuter"),  # the facts with the parts of their keys,
+        ("BroadcastHashJoin", "LeftOuter"),  # the dimension likewise
     ]
 
 

@@ -242,7 +242,7 @@ def test_star_keeps_every_transaction_also_with_hot_keys(spark, transactions):
         silver.silver_customers(sample.bronze_customers(spark, SF)), LOADED_AT
     )
     plain = star_transactions(transactions, accounts, customers)
-    hot = star_transactions(transactions, accounts, customers, max_hot_keys=200, min_hot_rows=3)
+    hot = star_transactions(transactions, accounts, customers, max_parts=500, min_part_rows=3)
     assert plain.count() == transactions.count()
     assert values(plain) == values(hot)
 

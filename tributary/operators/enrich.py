@@ -7,35 +7,45 @@ from pyspark.sql import functions as F
 
 _HOT = "_hot_key"
 _ROWS = "_rows"
+_PARTS = "_parts"
+_SALT = "_salt"
 
 
 def enrich(
     facts: DataFrame,
     dimension: DataFrame,
     key: str,
-    max_hot_keys: int = 20_000,
-    min_hot_rows: int = 1_000_000,
+    max_parts: int = 20_000,
+    min_part_rows: int = 1_000_000,
 ) -> DataFrame:
     """``facts`` left join ``dimension`` on ``key``; ``dimension`` has one row per non-NULL key.
 
-    A key is hot when it has at least ``min_hot_rows`` rows and more than 1/``max_hot_keys`` of all
-    rows, so there are fewer than ``max_hot_keys`` of them whatever the data. Rows of hot keys and
-    rows with a NULL key stay where they are and meet a broadcast of the hot part of the dimension,
-    whose row count has the same bound. The rest takes an ordinary shuffled join, in which no key
-    is larger than the limits above. Both parts together are the whole result.
+    A key, also NULL, is hot when it has more than ``min_part_rows`` rows and more than
+    1/``max_parts`` of all rows, so there are fewer than ``max_parts`` of them whatever the data: the
+    bound on what is broadcast. A hot key is cut into parts of that size by the map task a row is in.
+    That number is the same when the task is retried and it also spreads exact copies of a row. The
+    one matching row of the dimension is copied to each part, at most twice ``max_parts`` rows over
+    all keys. Then one shuffled join on key and part gives the whole result.
     """
     per_key = facts.groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias(_ROWS))
+    # Every key against all rows, in integers: rows / part size = rows * max_parts / total.
     total = per_key.select(F.sum(_ROWS)).scalar()
-    share = F.col(_ROWS) * F.lit(max_hot_keys) > total
+    parts = F.least(
+        F.ceil(F.col(_ROWS) / F.lit(min_part_rows)), F.ceil(F.col(_ROWS) * max_parts / total)
+    )
     hot = F.broadcast(
-        per_key.filter(F.col(_HOT).isNull() | ((F.col(_ROWS) >= min_hot_rows) & share)).select(_HOT)
+        per_key.withColumn(_PARTS, parts.cast("int")).filter(F.col(_PARTS) > 1).drop(_ROWS)
     )
+    # The null-safe comparison keeps a NOT NULL filter from reaching the counts, which then stay the
+    # same plan for both sides and run once.
     is_hot = F.col(key).eqNullSafe(F.col(_HOT))
-    # The null-safe comparison keeps a NOT NULL filter from reaching the counts: they stay the same
-    # plan in all three places and run once.
-    keyed = dimension.filter(F.col(key).isNotNull())
-    hot_dimension = F.broadcast(keyed.join(hot, is_hot, "left_semi"))
-
-    in_place = facts.join(hot, is_hot, "left_semi").join(hot_dimension, key, "left")
-    shuffled = facts.join(hot, is_hot, "left_anti").join(dimension, key, "left")
-    return shuffled.unionByName(in_place)
+    part = F.pmod(F.spark_partition_id(), F.coalesce(F.col(_PARTS), F.lit(1)))
+    every_part = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1))
+    salted = facts.join(hot, is_hot, "left").withColumn(_SALT, part).drop(_HOT, _PARTS)
+    copied = (
+        dimension.filter(F.col(key).isNotNull())
+        .join(hot, is_hot, "left")
+        .withColumn(_SALT, every_part)
+        .drop(_HOT, _PARTS)
+    )
+    return salted.join(copied, [key, _SALT], "left").drop(_SALT)
