@@ -90,22 +90,40 @@ def account_status_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return accounts.select("account_id", "status", "status_meaning")
 
 
-def transaction_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """A6-A8 derived from shared subtotals, stacked into one table."""
-    facts = gold.transaction_facts(gold.transaction_subtotals(_transactions(spark, folder)))
-    shapes = {
-        "type": ("Transaction_Type", "total_amount_by_type", "num_transactions_by_type"),
-        "currency": ("Currency", "total_amount_by_currency", "num_transactions_by_currency"),
-        "daily": ("transaction_date", "total_amount_per_day", "transactions_per_day"),
+def transaction_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """D3 and A5-A8 derived from the two sets of subtotals, stacked into one table."""
+    transactions = _transactions(spark, folder)
+    tables = {
+        **gold.account_tables(gold.account_subtotals(transactions)),
+        **gold.daily_tables(gold.daily_subtotals(transactions)),
+    }
+    measures = {
+        "dim_account_transaction_type": ("Account_ID", None, None),
+        "fact_transaction_account": ("Account_ID", "total_amount", "num_transactions"),
+        "fact_transaction_type": (
+            "Transaction_Type",
+            "total_amount_by_type",
+            "num_transactions_by_type",
+        ),
+        "fact_transaction_currency": (
+            "Currency",
+            "total_amount_by_currency",
+            "num_transactions_by_currency",
+        ),
+        "fact_transaction_daily": (
+            "transaction_date",
+            "total_amount_per_day",
+            "transactions_per_day",
+        ),
     }
     parts = [
-        facts[f"fact_transaction_{kind}"].select(
-            F.lit(kind).alias("fact"),
-            F.col(key).cast("string").alias("fact_key"),
-            F.col(total).alias("total_amount"),
-            F.col(count).alias("num_transactions"),
+        tables[name].select(
+            F.lit(name).alias("gold_table"),
+            F.col(key).cast("string").alias("table_key"),
+            (F.col(total) if total else F.lit(None)).cast("double").alias("total_amount"),
+            (F.col(count) if count else F.lit(None)).cast("long").alias("num_transactions"),
         )
-        for kind, (key, total, count) in shapes.items()
+        for name, (key, total, count) in measures.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -200,7 +218,7 @@ def queries() -> dict[str, Query]:
         "fact_transaction_type": _on(_transactions, gold.fact_transaction_type),
         "fact_transaction_currency": _on(_transactions, gold.fact_transaction_currency),
         "fact_transaction_daily": _on(_transactions, gold.fact_transaction_daily),
-        "transaction_facts": transaction_facts,
+        "transaction_tables": transaction_tables,
         "star_transactions": star_transactions,
         "preview_transactions": _on(
             _transactions, lambda df: gold.preview(gold.dim_transaction(df), "Transaction_ID")

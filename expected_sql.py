@@ -274,13 +274,20 @@ EXPECTED = {
     "fact_transaction_type": _amounts("Transaction_Type", "_by_type"),
     "fact_transaction_currency": _amounts("Currency", "_by_currency"),
     "fact_transaction_daily": _with(TRANSACTIONS, DAILY),
-    "transaction_facts": _with(
+    "transaction_tables": _with(
         TRANSACTIONS,
         """
-        SELECT 'type' AS fact, Transaction_Type AS fact_key, sum(Amount) AS total_amount,
-          count(*) AS num_transactions FROM trimmed GROUP BY 2
-        UNION ALL SELECT 'currency', Currency, sum(Amount), count(*) FROM trimmed GROUP BY 2
-        UNION ALL SELECT 'daily', CAST(CAST(transaction_ts AS DATE) AS VARCHAR), sum(Amount), count(*)
+        SELECT 'dim_account_transaction_type' AS gold_table, Account_ID AS table_key,
+          CAST(NULL AS DOUBLE) AS total_amount, CAST(NULL AS BIGINT) AS num_transactions
+        FROM (SELECT DISTINCT Account_ID, Transaction_Type, Currency FROM trimmed)
+        UNION ALL SELECT 'fact_transaction_account', Account_ID, sum(Amount), count(*)
+          FROM trimmed GROUP BY 2
+        UNION ALL SELECT 'fact_transaction_type', Transaction_Type, sum(Amount), count(*)
+          FROM trimmed GROUP BY 2
+        UNION ALL SELECT 'fact_transaction_currency', Currency, sum(Amount), count(*)
+          FROM trimmed GROUP BY 2
+        UNION ALL SELECT 'fact_transaction_daily',
+          CAST(CAST(transaction_ts AS DATE) AS VARCHAR), sum(Amount), count(*)
           FROM trimmed GROUP BY 2""",
     ),
     "star_transactions": _with(f"{ACCOUNTS.strip()},{TRANSACTIONS},{CUSTOMERS}", STAR),

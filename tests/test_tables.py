@@ -213,8 +213,16 @@ def test_transaction_facts_agree_on_totals(transactions):
     assert {round(row[0], 2) for row in totals} == {round(totals[0][0], 2)}
 
 
-def test_facts_from_subtotals_equal_the_direct_facts(transactions):
-    derived = gold.transaction_facts(gold.transaction_subtotals(transactions))
+def derived_tables(transactions):
+    return {
+        **gold.account_tables(gold.account_subtotals(transactions)),
+        **gold.daily_tables(gold.daily_subtotals(transactions)),
+    }
+
+
+def test_tables_from_subtotals_equal_the_direct_tables(transactions):
+    derived = derived_tables(transactions)
+    assert len(derived) == 5
     for name, df in derived.items():
         direct = getattr(gold, name)(transactions)
         assert shape(df.schema) == shape(direct.schema)
@@ -223,10 +231,7 @@ def test_facts_from_subtotals_equal_the_direct_facts(transactions):
 
 def test_an_amount_free_group_has_no_total(rows):
     frame = rows(SILVER["transactions"], ("t", "a", "X", None, "USD", None, "d"))
-    for df in (
-        gold.fact_transaction_type(frame),
-        gold.transaction_facts(gold.transaction_subtotals(frame))["fact_transaction_type"],
-    ):
+    for df in (gold.fact_transaction_type(frame), derived_tables(frame)["fact_transaction_type"]):
         assert values(df) == Counter({("X", None, None, 1): 1})
 
 

@@ -16,6 +16,8 @@ from tributary.schemas import SILVER
 from tributary.sources.scratch import scratch_folder
 from tributary.sources.tables import read_bronze, read_table, write_table
 
+Tables = Callable[[DataFrame], dict[str, DataFrame]]
+
 GOLD_TABLES = (
     "dim_customer",
     "dim_account",
@@ -98,28 +100,21 @@ def refresh_branches(lake: Lakehouse) -> None:
 
 
 def refresh_transactions(lake: Lakehouse) -> None:
-    """Three of the four facts come from one pass over the transactions, by way of subtotals."""
+    """Six tables from three passes over the transactions, two of them by way of subtotals."""
     transactions = lake.refresh_silver("transactions")
+    staging = scratch_folder(lake.spark)
 
-    def facts() -> None:
-        staging = scratch_folder(lake.spark)
-        write_table(gold.transaction_subtotals(transactions), staging, "subtotals")
-        subtotals = read_table(lake.spark, staging, "subtotals")
-        side_by_side(
-            *(partial(lake.save, *fact) for fact in gold.transaction_facts(subtotals).items())
-        )
+    def by_way_of(name: str, subtotals: DataFrame, tables: Tables) -> None:
+        write_table(subtotals, staging, name)
+        written = tables(read_table(lake.spark, staging, name))
+        side_by_side(*(partial(lake.save, *table) for table in written.items()))
 
     side_by_side(
         partial(lake.save, "dim_transaction", gold.dim_transaction(transactions)),
         partial(
-            lake.save,
-            "dim_account_transaction_type",
-            gold.dim_account_transaction_type(transactions),
-        ),
-        partial(
-            lake.save, "fact_transaction_account", gold.fact_transaction_account(transactions)
+            by_way_of, "by_account", gold.account_subtotals(transactions), gold.account_tables
         ),
-        facts,
+        partial(by_way_of, "by_day", gold.daily_subtotals(transactions), gold.daily_tables),
     )
 
 
