@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date
 from functools import partial, reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -30,7 +30,6 @@ from tributary.streaming.envelope import TARGET  # noqa: E402
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = date(2026, 1, 1)
-LOADED_AT = datetime(2026, 1, 1)
 # Decimal places at which sums and averages of double balances are compared.
 ROUNDING = {"total_balance": 2, "average_balance": 6}
 
@@ -38,7 +37,7 @@ ROUNDING = {"total_balance": 2, "average_balance": 6}
 def _comparable(df: DataFrame) -> DataFrame:
     """Times without zone, floats as doubles, measures of double balances rounded."""
 
-    def column(name: str, dtype: str):
+    def column(name: str, dtype: str) -> Column:
         value = F.col(name)
         if dtype == "timestamp":
             value = value.cast("timestamp_ntz")
@@ -51,6 +50,11 @@ def _comparable(df: DataFrame) -> DataFrame:
     return df.select([column(name, dtype) for name, dtype in df.dtypes])
 
 
+def _loaded_at() -> Column:
+    """A fixed load time in the time zone of the session."""
+    return F.lit("2026-01-01 00:00:00").cast("timestamp")
+
+
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
     return silver.silver_customers(sample.bronze_customers(spark, folder))
 
@@ -133,7 +137,7 @@ def star_transactions(spark: SparkSession, folder: str) -> DataFrame:
         star(
             _transactions(spark, folder),
             gold.dim_account(_accounts(spark, folder)),
-            gold.dim_customer(_customers(spark, folder), LOADED_AT),
+            gold.dim_customer(_customers(spark, folder)),
         )
     )
 
@@ -166,7 +170,7 @@ def run_all(spark: SparkSession, folder: str) -> DataFrame:
     """Write bronze, refresh silver and gold, and count the rows of every gold table."""
     root = scratch_folder(spark)
     lake = refresh.Lakehouse(
-        spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", as_of=AS_OF, loaded_at=LOADED_AT
+        spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", as_of=AS_OF
     )
     refresh.side_by_side(
         *(
@@ -200,7 +204,7 @@ def queries() -> dict[str, Query]:
         "silver_branches": _on(_branches),
         "account_json_flag": account_json_flag,
         "customer_latest": _on(_customers, gold.customer_latest),
-        "dim_customer": _on(_customers, lambda df: gold.dim_customer(df, LOADED_AT)),
+        "dim_customer": _on(_customers, lambda df: gold.dim_customer(df, _loaded_at())),
         "dim_account": _on(_accounts, gold.dim_account),
         "dim_branch": _on(_branches, gold.dim_branch),
         "dim_transaction": _on(_transactions, gold.dim_transaction),
