@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_HOT = "_hot_key"
+# Hash buckets in which keys are counted: many more than there can be hot ones, few enough for a map
+# task to count them in memory whatever the number of keys.
+BUCKETS = 1 << 18
+
+_BUCKET = "_bucket"
 _ROWS = "_rows"
 _PARTS = "_parts"
-_SALT = "_salt"
+_PART = "_part"
 
 
 def enrich(
@@ -20,32 +24,30 @@ def enrich(
 ) -> DataFrame:
     """``facts`` left join ``dimension`` on ``key``; ``dimension`` has one row per non-NULL key.
 
-    A key, also NULL, is hot when it has more than ``min_part_rows`` rows and more than
-    1/``max_parts`` of all rows, so there are fewer than ``max_parts`` of them whatever the data: the
-    bound on what is broadcast. A hot key is cut into parts of that size by the map task a row is in.
-    That number is the same when the task is retried and it also spreads exact copies of a row. The
-    one matching row of the dimension is copied to each part, at most twice ``max_parts`` rows over
-    all keys. Then one shuffled join on key and part gives the whole result.
+    Keys, also NULL, are counted by hash bucket. A bucket is hot when it has more than
+    ``min_part_rows`` rows and more than 1/``max_parts`` of all rows, so fewer than ``max_parts``
+    buckets are hot whatever the data; two integers for each is all that is broadcast. A hot bucket
+    is cut into parts of that size by the map task a row is in. That number is the same when the
+    task is retried, and it also spreads exact copies of a row. The dimension rows of the bucket are
+    copied to each of its parts. One shuffled join on key and part then gives the whole result.
     """
-    per_key = facts.groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias(_ROWS))
-    # Every key against all rows, in integers: rows / part size = rows * max_parts / total.
-    total = per_key.select(F.sum(_ROWS)).scalar()
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+    counted = facts.groupBy(bucket.alias(_BUCKET)).agg(F.count(F.lit(1)).alias(_ROWS))
+    total = counted.select(F.sum(_ROWS)).scalar()
     parts = F.least(
         F.ceil(F.col(_ROWS) / F.lit(min_part_rows)), F.ceil(F.col(_ROWS) * max_parts / total)
     )
     hot = F.broadcast(
-        per_key.withColumn(_PARTS, parts.cast("int")).filter(F.col(_PARTS) > 1).drop(_ROWS)
-    )
-    # The null-safe comparison keeps a NOT NULL filter from reaching the counts, which then stay the
-    # same plan for both sides and run once.
-    is_hot = F.col(key).eqNullSafe(F.col(_HOT))
-    part = F.pmod(F.spark_partition_id(), F.coalesce(F.col(_PARTS), F.lit(1)))
-    every_part = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1))
-    salted = facts.join(hot, is_hot, "left").withColumn(_SALT, part).drop(_HOT, _PARTS)
-    copied = (
-        dimension.filter(F.col(key).isNotNull())
-        .join(hot, is_hot, "left")
-        .withColumn(_SALT, every_part)
-        .drop(_HOT, _PARTS)
+        counted.select(_BUCKET, parts.cast("int").alias(_PARTS)).filter(F.col(_PARTS) > 1)
     )
-    return salted.join(copied, [key, _SALT], "left").drop(_SALT)
+
+    def with_parts(df: DataFrame) -> DataFrame:
+        found = df.withColumn(_BUCKET, bucket).join(hot, _BUCKET, "left")
+        return found.withColumn(_PARTS, F.coalesce(_PARTS, F.lit(1))).drop(_BUCKET)
+
+    own_part = F.pmod(F.spark_partition_id(), F.col(_PARTS))
+    every_part = F.explode(F.sequence(F.lit(0), F.col(_PARTS) - 1))
+    known = dimension.filter(F.col(key).isNotNull())
+    split = with_parts(facts).withColumn(_PART, own_part).drop(_PARTS)
+    copied = with_parts(known).withColumn(_PART, every_part).drop(_PARTS)
+    return split.join(copied, [key, _PART], "left").drop(_PART)
