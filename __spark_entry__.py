@@ -7,6 +7,7 @@ order is not fixed), and times without a zone.
 from __future__ import annotations
 
 import sys
+from importlib.util import find_spec
 from collections.abc import Callable
 from datetime import date
 from functools import partial, reduce
@@ -29,6 +30,21 @@ from tributary.streaming.envelope import TARGET  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The training-data operators are an optional part: without their package the rest works alone.
+LLM_QUERIES: dict[str, Query] = {}
+LLM_SQL: dict[str, str] = {}
+if find_spec("tributary.llm"):
+    from tributary.llm.queries import QUERIES, SQL
+
+    LLM_QUERIES |= QUERIES
+    LLM_SQL |= SQL
+if LLM_QUERIES and find_spec("corpus_pipeline"):
+    import corpus_pipeline
+
+    LLM_QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        LLM_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 AS_OF = date(2026, 1, 1)
 # Decimal places at which sums and averages of double balances are compared.
 ROUNDING = {"total_balance": 2, "average_balance": 6}
@@ -236,9 +252,10 @@ def queries() -> dict[str, Query]:
         "stream_route_counts": stream_route_counts,
         "parquet_payloads": parquet_payloads,
         "run_all": run_all,
+        **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """For each query the SQL that gives its expected result on the source tables."""
-    return dict(EXPECTED)
+    return {**EXPECTED, **LLM_SQL}
