@@ -29,8 +29,8 @@ from tributary.llm.tokens import chunks
 
 CAPACITY = 1024
 END = 2
-#: Pieces packed in one task, rounds of exchange at most, words a worker remembers the ids of.
-PART, ROUNDS, REMEMBERED = 3000, 8, 400_000
+#: Pieces packed in one task, rounds of exchange at most, words a worker remembers the ids of (200 MB).
+PART, ROUNDS, REMEMBERED = 3000, 8, 900_000
 
 _CACHE: dict[str, dict[str, bytes]] = {}
 _TOKENIZERS: dict[str, object] = {}
@@ -49,33 +49,57 @@ def tokenizer_of(path: str):
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """Ids of whole texts as little-endian 32-bit words.
 
-    Byte-level BPE never joins across a single space before a word, so text is cut there and the ids
-    of a word with its space are remembered. Runs of blanks and other spaces, where that does not
-    hold, go to the tokenizer as they are.
+    Byte-level BPE never joins across a single space before a word, nor across a line break between
+    two words, so texts are cut there and the ids of each part are remembered. Texts with other
+    white space, where that does not hold, go to the tokenizer as they are.
     """
     tokenizer, known = tokenizer_of(path), _CACHE.setdefault(path, {})
-
-    def encode(new: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch(new, add_special_tokens=False)]
-
-    split: list[list[str] | None] = []
-    for text in texts:
-        head, *rest = text.split(" ")
-        odd = "" in rest or not head or _JOINING.search(text)
-        split.append(None if odd else [head, *(" " + w for w in rest)])
-    words = set().union(*(s for s in split if s))
-    new = [w for w in words if w not in known]
+    # A part that begins with the mark has no space before it.
+    split = [None if _joining(t) else (_MARK + t.replace("\n", f" {_BREAK} {_MARK}")).split(" ") for t in texts]
+    parts = set().union(*(s for s in split if s))
+    new = [w for w in parts if w not in known]
     if len(known) + len(new) > REMEMBERED:
         known.clear()
-        new = list(words)
-    known.update(zip(new, encode(new)))
-    whole = iter(encode([t for t, s in zip(texts, split) if s is None]))
+        new = list(parts)
+    known.update(_encode_parts(tokenizer, new))
+    whole = iter(_encode(tokenizer, [t for t, s in zip(texts, split) if s is None]))
     return [next(whole) if s is None else b"".join(map(known.__getitem__, s)) for s in split]
 
 
-#: What may join with its neighbours across a space: other white space, breaks next to a space, and
-#: special tokens.
-_JOINING = re.compile(r"[^\S\n ]|\n | \n|<\|")
+_MARK = "\x01"
+_BREAK = _MARK + "\n"
+_ASCII_SPACES = ("\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", _MARK, "  ", "\n ", " \n", "\n\n", "<|")
+_OTHER_SPACE = re.compile(r"[^\S\n ]")
+
+
+def _joining(text: str) -> bool:
+    """Whether spaces may join with their neighbours, or a special token may be spelt out."""
+    return (
+        any(s in text for s in _ASCII_SPACES) or text[:1] in ("", " ", "\n") or text[-1:] in (" ", "\n")
+        or (not text.isascii() and _OTHER_SPACE.search(text) is not None)
+    )
+
+
+def _encode(tokenizer, texts: list[str]) -> list[bytes]:
+    return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _encode_parts(tokenizer, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+    """Ids of parts. They are handed over by the hundred as lines, since a call has its price; the
+    token of the line break, which no other part can hold, tells them apart again."""
+    lines = [w for w in parts if w != _BREAK]
+    texts = [w[1:] if w[0] == _MARK else " " + w for w in lines]
+    (mark,) = tokenizer.encode("\n", add_special_tokens=False).ids
+    if len(lines) < len(parts):
+        yield _BREAK, array("I", [mark]).tobytes()
+    joined = ["\n".join(texts[k : k + 100]) + "\n" for k in range(0, len(texts), 100)]
+    for k, found in enumerate(tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+        ids = np.array(found.ids, "<u4")
+        data, at = ids.tobytes(), 0
+        ends = np.flatnonzero(ids == mark).tolist()
+        for word, end in zip(lines[100 * k : 100 * k + 100], ends, strict=True):
+            yield word, data[4 * at : 4 * end]
+            at = end + 1
 
 
 def _pieces(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
