@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.arrays import starts_of
+from tributary.llm.arrays import settled, starts_of
 
 _JOIN = "\ue000"
 _LOCAL, _DOMAIN = "A-Za-z0-9._%+-", "A-Za-z0-9-"
@@ -100,7 +100,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     df = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"))
     for kind in KINDS:
         df = _spans(df, kind)
-    return df.withColumnsRenamed({"id": id_col, "t": "text"})
+    return settled(df.withColumnsRenamed({"id": id_col, "t": "text"}))
 
 
 def spans_text(kinds: list[str]) -> Column:

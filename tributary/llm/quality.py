@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.arrays import words_of
+from tributary.llm.arrays import settled, words_of
 
 REPEAT = 8
 #: Labelled rows that a list is learned from at most, literals of a rule, rules, precision asked of a
@@ -196,4 +196,4 @@ def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFra
     """
     scored = with_statistics(docs, text_col)
     failed = base_failed()
-    return scored.withColumns({"quality_base_failed": failed, "quality_kept": ~failed & verdict(rules, _features())})
+    return settled(scored.withColumns({"quality_base_failed": failed, "quality_kept": ~failed & verdict(rules, _features())}))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import neardup, packing, pii, quality, repeats, warc
+from tributary.llm import decontaminate, licenses, neardup, packing, pii, quality, repeats, secret_scan, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,10 +28,23 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.find_licenses(_read(spark, folder, "documents"), licenses.known_licenses(spark))
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_read(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train_chain(docs, _read(spark, folder, "labels")))
+
+
 def op6_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_read(spark, folder, "documents"))
 
@@ -40,6 +53,14 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_pages(_read(spark, folder, "pages"))
 
 
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    found = secret_scan.find_secrets(docs, secret_scan.train(secret_scan.labelled_findings(docs)))
+    # The outer form keeps the optimizer from testing, and so making, the array twice.
+    rows = found.select("doc_id", F.explode_outer("secret_candidates").alias("x")).where("x is not null")
+    return rows.select("doc_id", "x.start", "x.stop", F.sha2("x.value", 256).alias("value_sha256"), "x.score", "x.secret")
+
+
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(_read(spark, folder, "documents")).drop("kept")
 
@@ -56,9 +77,13 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
+    "op2_decontamination": op2_decontamination,
+    "op3_licenses": op3_licenses,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_toxicity": op5_toxicity,
     "op6_minhash_neardup": op6_minhash_neardup,
     "op7_warc": op7_warc,
+    "op8_secrets": op8_secrets,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -66,7 +91,20 @@ QUERIES: dict[str, Query] = {
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_PLAIN = r"lower(regexp_replace(coalesce(text, ''), '[^\p{{L}}\p{{N}}\x20\x09-\x0D]+', '', 'g'))".format()
+
 SQL: dict[str, str] = {
+    "op2_decontamination": f"""
+WITH b AS (SELECT item_id, {_WORDS.format(_PLAIN)} AS w FROM benchmark),
+bi AS (SELECT item_id, w, least(len(w), 5) AS width, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b WHERE len(w) > 0),
+bg AS (SELECT DISTINCT item_id, width, array_to_string(w[i : i + width - 1], ' ') AS g FROM bi),
+same AS (SELECT list(g ORDER BY g) AS gs, width, item_id FROM bg GROUP BY item_id, width),
+rep AS (SELECT min(item_id) AS item_id, len(gs) AS n FROM same GROUP BY gs, width),
+d AS (SELECT doc_id, {_WORDS.format(_PLAIN)} AS w FROM documents),
+di AS (SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS i FROM d, (SELECT DISTINCT width FROM bg) WHERE len(w) >= width),
+dg AS (SELECT DISTINCT doc_id, width, array_to_string(w[i : i + width - 1], ' ') AS g FROM di)
+SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_shingles, count(*) AS n_common
+FROM dg JOIN bg USING (width, g) JOIN rep USING (item_id) GROUP BY doc_id, item_id, n HAVING 100 * count(*) >= 75 * n""",
     "op6_minhash_neardup": f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
 e AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0),

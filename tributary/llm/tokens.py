@@ -82,10 +82,11 @@ class Words:
         return mix((total[at + n] - total[at]) * down[at])
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """``data``: bytes of all texts in a row; ``offsets``: where each begins, and the end."""
-    gap = np.ones(len(data) + 1, bool)
-    gap[:-1] = _GAP[data]
+def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False, gap: np.ndarray = _GAP) -> Words:
+    """``data``: bytes of all texts in a row; ``offsets``: where each begins, and the
+    end; ``gap``: the bytes that are between words."""
+    ends_word, gap = gap, np.ones(len(data) + 1, bool)
+    gap[:-1] = ends_word[data]
     before = np.ones(len(data) + 1, bool)
     before[1:] = gap[:-1]
     before[offsets] = True  # a text ends the word of the text before it
