@@ -8,35 +8,26 @@ from pyspark.sql import functions as F
 from tributary.llm.tables import Stage
 
 
-def components(links: DataFrame, vertices: DataFrame, stage: Stage, name: str = "cc") -> DataFrame:
-    """``links(a, b)``, ``vertices(v, label)`` -> ``(v, label)``, label the smallest of the component.
+def components(links: DataFrame, stage: Stage, name: str = "cc") -> DataFrame:
+    """``links(a, b)`` between numbers -> ``(v, label)``: each end and the smallest of its component.
 
-    Each round takes the smallest label among the neighbours, then the label of the vertex that first
-    bore that label, so a chain of n links takes about log2(n) rounds. Labels must tell vertices
-    apart. Vertices without a link keep their label; links to vertices not listed are ignored. Each
-    round is a written table, and its aggregates combine map-side, so a vertex with very many links
-    is no hot task.
+    Each round takes the smallest label among the neighbours, then the label of the vertex that the
+    label names, so a chain of n links takes about log2(n) rounds. Each round is a written table, and
+    its aggregates combine map-side, so a vertex with very many links is no hot task.
     """
     both = stage.table(
         links.select(F.col("a").alias("v"), F.col("b").alias("u")).union(links.select("b", "a")).distinct(), f"{name}-links"
     )
-    now = stage.table(
-        vertices.join(both.select("v").distinct(), "v", "left_semi").select("v", F.col("label").alias("own"), "label"), f"{name}-0"
-    )
-    turn = 0
+    lower = stage.table(both.groupBy("v").agg(F.least("v", F.min("u")).alias("label")).withColumn("old", F.col("v")), f"{name}-near1")
+    turn = 1
     while True:
+        jump = lower.select(F.col("v").alias("label"), F.col("label").alias("next"))
+        now = stage.table(lower.join(jump, "label", "left").select("v", F.least("label", "next").alias("label"), "old"), f"{name}-{turn}")
+        if now.where("label <> old").isEmpty():
+            return now.select("v", "label")
         turn += 1
         near = (
             both.join(now.select(F.col("v").alias("u"), F.col("label").alias("near")), "u")
             .groupBy("v").agg(F.min("near").alias("near"))
         )
-        lower = stage.table(
-            now.join(near, "v", "left").select("v", "own", F.least("label", "near").alias("label"), F.col("label").alias("old")), f"{name}-near{turn}"
-        )
-        jump = lower.select(F.col("own").alias("label"), F.col("label").alias("next"))
-        now = stage.table(
-            lower.join(jump, "label", "left").select("v", "own", F.least("label", "next").alias("label"), "old"), f"{name}-{turn}"
-        )
-        if now.where(~F.col("label").eqNullSafe(F.col("old"))).isEmpty():
-            break
-    return now.select("v", "label")
+        lower = stage.table(now.join(near, "v", "left").select("v", F.least("label", "near").alias("label"), F.col("label").alias("old")), f"{name}-near{turn}")

@@ -5,9 +5,9 @@ root that holds all classes: a node sends each member to one child per chosen mi
 named by the member's minimum there, and on average 1 / similarity coordinates are chosen, so that a
 pair at the threshold is expected to stay together in as many children as it came from.
 
-* In every node all members are compared with one of them (its hub), which takes time in proportion.
-  If all are linked to it the node is done, as its members are connected: a large group of copies
-  never becomes pairs.
+* In every node the members are compared with one of them (its hub), which takes time in proportion.
+  Links found so far are contracted level by level: members of one component need no comparison, and
+  a node within one component is done, so a large group of near copies never becomes pairs.
 * Other nodes up to ``LEAF`` members are compared exhaustively, larger ones branch on.
 * What is still large after the last level is compared block by block, so no pair is left out.
 
@@ -29,8 +29,8 @@ from tributary.llm.tables import Stage
 from tributary.llm.tokens import chunks, mix, words_of
 
 SHINGLE, SIMILARITY = 5, 75
-#: Independent trees, minwise coordinates, members compared exhaustively, levels, block of the rest.
-TREES, COORDINATES, LEAF, LEVELS, BLOCK = 14, 40, 24, 9, 256
+#: Independent trees, those whose links are contracted before the others are looked at, minwise coordinates, members compared exhaustively, levels, block of the rest.
+TREES, AHEAD, COORDINATES, LEAF, LEVELS, BLOCK = 14, 2, 40, 24, 5, 256
 #: Coordinates that must agree before two sets are compared in full. Of 40, a pair at the threshold
 #: has fewer than 14 with probability 2e-7.
 AGREE = 14
@@ -112,18 +112,18 @@ def _full_sets(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
 
 def _pairs(table: pa.RecordBatch) -> tuple[list[bytes], list[bytes]]:
-    """Likely pairs of the rows of one list column ``m`` of (cls, n, sketch, tied, side)."""
+    """Likely pairs of the rows of one list column ``m`` of (cls, n, sketch, label, side)."""
     lists = table.column("m")
     ends, rows = lists.offsets.to_numpy(), lists.values
-    cls, n, tied, side = rows.field("cls"), *(rows.field(f).to_numpy(zero_copy_only=False) for f in ("n", "tied", "side"))
+    cls, n, label, side = rows.field("cls"), *(rows.field(f).to_numpy(zero_copy_only=False) for f in ("n", "label", "side"))
     sketches = rows.field("sketch").values.to_numpy().reshape(-1, COORDINATES)
     left, right = [], []
     for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist()):
-        own, size, hub, part = sketches[lo:hi], n[lo:hi], tied[lo:hi], side[lo:hi]
+        own, size, group, part = sketches[lo:hi], n[lo:hi], label[lo:hi], side[lo:hi]
         for k in range(hi - lo - 1):
             far = slice(k + 1, None)
             agree = (own[far] == own[k]).sum(axis=1) >= AGREE
-            agree &= ~(hub[far] & hub[k]) & ((part[far] != part[k]) | (part[k] == 0))
+            agree &= (group[far] != group[k]) & ((part[far] != part[k]) | (part[k] == 0))
             small, big = np.minimum(size[far], size[k]), np.maximum(size[far], size[k])
             for other in (np.flatnonzero(agree & (100 * small >= SIMILARITY * big)) + lo + k + 1).tolist():
                 left.append(lo + k)
@@ -156,9 +156,9 @@ def _confirm(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 
 def _children(members: DataFrame, level: int) -> DataFrame:
-    """Members (node, cls, sketch) sent on. Steps get longer with the level; a longer step tries
-    more combinations of coordinates: (4/3) ** length on average, drawn by the node."""
-    length = 1 + level // 3
+    """Members (node, cls, sketch) sent on. Each step is a coordinate longer than the one before; a
+    longer step tries more combinations of coordinates: (4/3) ** length on average, drawn by the node."""
+    length = level
     mean = (100 / SIMILARITY) ** length
     whole, rest = int(mean), mean - int(mean)
     draw = F.pmod(F.xxhash64("node", F.lit(-level)), F.lit(10_000))
@@ -172,9 +172,9 @@ def _children(members: DataFrame, level: int) -> DataFrame:
 
 
 def _leaf_pairs(members: DataFrame) -> DataFrame:
-    """Likely pairs of small nodes, but for those that the hub connects."""
+    """Likely pairs of small nodes, but for those of one component."""
     lists = members.withColumn("side", F.lit(0)).groupBy("node").agg(
-        F.collect_list(F.struct("cls", "n", "sketch", "tied", "side")).alias("m")
+        F.collect_list(F.struct("cls", "n", "sketch", "label", "side")).alias("m")
     )
     return lists.select("m").mapInArrow(_compare, "a binary, b binary")
 
@@ -186,8 +186,8 @@ def _block_pairs(members: DataFrame) -> DataFrame:
     met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
     lists = met.select(
-        "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "n", "sketch", "tied", side.alias("side")
-    ).groupBy("node", "i", "j").agg(F.collect_list(F.struct("cls", "n", "sketch", "tied", "side")).alias("m"))
+        "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "n", "sketch", "label", side.alias("side")
+    ).groupBy("node", "i", "j").agg(F.collect_list(F.struct("cls", "n", "sketch", "label", "side")).alias("m"))
     return lists.select("m").mapInArrow(_compare, "a binary, b binary")
 
 
@@ -212,14 +212,8 @@ def near_duplicates(
         ),
         "classes",
     )
-    links = stage.table(_links(source, classes, stage, shingle), "links")
-    key = F.xxhash64("cls")
-    found = components(
-        links.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")),
-        classes.select(key.alias("v"), key.alias("label")), stage,
-    )
-    named = classes.select("cls", "first", key.alias("v")).join(found, "v", "left").withColumn("label", F.coalesce("label", "v"))
-    named = stage.table(named.select("cls", "first", "label"), "named")
+    labels = _labels(source, classes, stage, shingle)
+    named = stage.table(classes.select("cls", "first").join(labels, "cls"), "named")
     firsts = stage.table(named.groupBy("label").agg(F.min("first").alias("least")), "firsts")
     of_class = stage.table(named.join(firsts, "label").select("cls", "least"), "of-class")
     component = F.coalesce(F.when(F.col("least") != _NO_ID, F.col("least")), "id")
@@ -229,45 +223,32 @@ def near_duplicates(
     )
 
 
-def _links(source: DataFrame, classes: DataFrame, stage: Stage, shingle: int) -> DataFrame:
-    """Confirmed links (a, b) between classes, enough to connect every group."""
+def _labels(source: DataFrame, classes: DataFrame, stage: Stage, shingle: int) -> DataFrame:
+    """(cls, label): classes of one component share a label."""
+    labels = classes.select("cls", F.xxhash64("cls").alias("label"))
     roots = classes.select("cls", F.posexplode(F.slice("sketch", 1, TREES)).alias("tree", "value"))
-    members = roots.select(F.xxhash64("tree", "value").alias("node"), "cls")
-    sets: DataFrame | None = None
-    links: list[DataFrame] = []
+    members = stage.table(roots.select(F.xxhash64("tree", "value").alias("node"), "tree", "cls"), "roots")
+    nodes = stage.table(members.groupBy("node").agg(F.count("*").alias("size"), F.min("cls").alias("hub")).where("size > 1"), "nodes1")
+    inside = stage.table(members.join(nodes, "node"), "inside")
+    often = stage.table(inside.groupBy("cls").count().where(F.col("count") >= SHARED).select("cls"), "often")
+    inside = stage.table(inside.join(often, "cls"), "inside1")
+    sets = stage.table(_sets_of(source, classes, often, shingle), "sets")
+    labels = _star(inside.where(F.col("tree") < AHEAD), classes, sets, labels, stage, "ahead")
     pairs: list[DataFrame] = []
     for level in range(1, LEVELS + 1):
-        hub = F.struct((F.xxhash64("cls", "node") if level > 1 else F.lit(0).cast("long")).alias("o"), "cls")
-        nodes = stage.table(
-            members.groupBy("node").agg(F.count("*").alias("size"), F.min(hub).alias("hub")).where("size > 1")
-            .select("node", "size", F.col("hub.cls").alias("hub")),
-            f"nodes{level}",
-        )
-        inside = stage.table(members.join(nodes, "node"), f"inside{level}")
-        if sets is None:
-            often = stage.table(inside.groupBy("cls").count().where(F.col("count") >= SHARED).select("cls"), "often")
-            inside = stage.table(inside.join(often, "cls"), "inside-often")
-            first = classes.join(often, "cls").select("first")
-            texts = source.withColumn("first", F.coalesce("id", F.lit(_NO_ID))).join(first.distinct(), "first")
-            made = texts.select("text").mapInArrow(_full_sets(shingle), "cls binary, hashes array<bigint>").where("cls is not null")
-            twice = source.groupBy("id").count().where("count > 1")
-            if not twice.isEmpty():  # rows that share an id: one set for each class is enough
-                made = made.groupBy("cls").agg(F.first("hashes").alias("hashes"))
-            sets = stage.table(made, "sets")
-        spokes = inside.where(F.col("cls") != F.col("hub")).select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
-        likely = stage.table(_likely(spokes, classes, SIMILARITY), f"likely{level}")
-        linked = stage.table(_confirm(likely, sets, SIMILARITY), f"linked{level}")
-        links.append(linked)
-        spoke = linked.select(F.col("a").alias("cls"), F.col("b").alias("hub"), F.lit(True).alias("tied"))
-        tied = stage.table(
-            inside.join(spoke, ["cls", "hub"], "left").withColumn("tied", F.coalesce("tied", F.col("cls") == F.col("hub"))), f"tied{level}"
-        )
+        if level > 1:
+            hub = F.min(F.struct(F.xxhash64("cls", "node").alias("o"), "cls")).alias("hub")
+            nodes = stage.table(
+                members.groupBy("node").agg(F.count("*").alias("size"), hub).where("size > 1").select("node", "size", F.col("hub.cls").alias("hub")),
+                f"nodes{level}",
+            )
+            inside = stage.table(members.join(nodes, "node"), f"inside{level}")
+        labels = _star(inside, classes, sets, labels, stage, f"star{level}")
+        grouped = stage.table(inside.select("node", "size", "cls").join(labels, "cls"), f"grouped{level}")
         # The node is done if its members are connected.
-        open_ = stage.table(
-            tied.groupBy("node").agg(F.bool_and("tied").alias("done")).where(~F.col("done")).select("node"), f"open{level}"
-        )
-        rest = tied.join(open_, "node").select("node", "size", "cls", "tied").join(classes.select("cls", "n", "sketch"), "cls")
-        rest = stage.table(rest, f"rest{level}")
+        open_ = stage.table(grouped.groupBy("node").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("node"), f"open{level}")
+        rest = grouped.join(open_, "node").join(classes.select("cls", "n", "sketch"), "cls")
+        rest = stage.table(rest.select("node", "size", "cls", "label", "n", "sketch"), f"rest{level}")
         pairs.append(_leaf_pairs(rest.where(F.col("size") <= LEAF)))
         large = rest.where(F.col("size") > LEAF)
         if large.isEmpty():
@@ -280,7 +261,36 @@ def _links(source: DataFrame, classes: DataFrame, stage: Stage, shingle: int) ->
     for more in pairs[1:]:
         leaves = leaves.union(more)
     leaves = stage.table(leaves.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "leaves")
-    found = _confirm(leaves, sets, SIMILARITY)
-    for more in links:
-        found = found.union(more)
-    return found
+    return _contracted(labels, _confirm(leaves, sets, SIMILARITY), stage, "leaf")
+
+
+def _sets_of(source: DataFrame, classes: DataFrame, some: DataFrame, shingle: int) -> DataFrame:
+    """(cls, hashes) of the given classes, from the text of the document with the smallest id."""
+    first = classes.join(some, "cls").select("first")
+    texts = source.withColumn("first", F.coalesce("id", F.lit(_NO_ID))).join(first.distinct(), "first")
+    made = texts.select("text").mapInArrow(_full_sets(shingle), "cls binary, hashes array<bigint>").where("cls is not null")
+    twice = source.groupBy("id").count().where("count > 1")
+    # Rows that share an id: one set for each class is enough.
+    return made if twice.isEmpty() else made.groupBy("cls").agg(F.first("hashes").alias("hashes"))
+
+
+def _star(inside: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame, stage: Stage, name: str) -> DataFrame:
+    """Labels after comparing the members (node, hub, cls) with their hubs."""
+    own, other = labels, labels.select(F.col("cls").alias("hub"), F.col("label").alias("hub_label"))
+    apart = inside.select("cls", "hub").where("cls <> hub").distinct().join(own, "cls").join(other, "hub").where("label <> hub_label")
+    spokes = stage.table(apart.select(F.col("cls").alias("a"), F.col("hub").alias("b")), f"{name}-spokes")
+    likely = stage.table(_likely(spokes, classes, SIMILARITY), f"{name}-likely")
+    if likely.isEmpty():
+        return labels
+    return _contracted(labels, _confirm(likely, sets, SIMILARITY), stage, name)
+
+
+def _contracted(labels: DataFrame, links: DataFrame, stage: Stage, name: str) -> DataFrame:
+    """Labels after joining the components that the links connect."""
+    left, right = (labels.select(F.col("cls").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
+    ends = links.join(left, "a").join(right, "b").where("label_a <> label_b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    ends = stage.table(ends.distinct(), f"{name}-ends")
+    if ends.isEmpty():
+        return labels
+    found = components(ends, stage, f"{name}-cc").select(F.col("v").alias("label"), F.col("label").alias("lower"))
+    return stage.table(labels.join(found, "label", "left").select("cls", F.coalesce("lower", "label").alias("label")), f"{name}-labels")
