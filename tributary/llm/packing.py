@@ -29,8 +29,9 @@ from tributary.llm.tokens import chunks
 
 CAPACITY = 1024
 END = 2
-#: Pieces packed in one task, rounds of exchange at most, words a worker remembers the ids of (200 MB).
-PART, ROUNDS, REMEMBERED = 3000, 8, 900_000
+#: Pieces packed in one task, rounds of exchange at most, words a worker
+#: remembers the ids of (300 MB), lines handed to the tokenizer at once.
+PART, ROUNDS, REMEMBERED, LINES = 3000, 8, 1_300_000, 500
 
 _CACHE: dict[str, dict[str, bytes]] = {}
 _TOKENIZERS: dict[str, object] = {}
@@ -85,19 +86,19 @@ def _encode(tokenizer, texts: list[str]) -> list[bytes]:
 
 
 def _encode_parts(tokenizer, parts: list[str]) -> Iterator[tuple[str, bytes]]:
-    """Ids of parts. They are handed over by the hundred as lines, since a call has its price; the
+    """Ids of parts. They are handed over as lines, many at a time, since a call has its price; the
     token of the line break, which no other part can hold, tells them apart again."""
     lines = [w for w in parts if w != _BREAK]
     texts = [w[1:] if w[0] == _MARK else " " + w for w in lines]
     (mark,) = tokenizer.encode("\n", add_special_tokens=False).ids
     if len(lines) < len(parts):
         yield _BREAK, array("I", [mark]).tobytes()
-    joined = ["\n".join(texts[k : k + 100]) + "\n" for k in range(0, len(texts), 100)]
+    joined = ["\n".join(texts[k : k + LINES]) + "\n" for k in range(0, len(texts), LINES)]
     for k, found in enumerate(tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
         ids = np.array(found.ids, "<u4")
         data, at = ids.tobytes(), 0
         ends = np.flatnonzero(ids == mark).tolist()
-        for word, end in zip(lines[100 * k : 100 * k + 100], ends, strict=True):
+        for word, end in zip(lines[LINES * k : LINES * (k + 1)], ends, strict=True):
             yield word, data[4 * at : 4 * end]
             at = end + 1
 
