@@ -23,9 +23,9 @@ from tributary.operators import explode_parquet_payloads  # noqa: E402
 from tributary.plans import gold, refresh, silver  # noqa: E402
 from tributary.plans.star import star_transactions as star  # noqa: E402
 from tributary.schemas import BRONZE, RAW, REJECTS  # noqa: E402
-from tributary.sources import read_table, scratch_folder, write_table  # noqa: E402
+from tributary.sources import copy_tables, read_bronze, read_table, scratch_folder, write_table  # noqa: E402
 from tributary.sources import sample  # noqa: E402
-from tributary.streaming import landing_table, start_landing, visible_events  # noqa: E402
+from tributary.streaming import landing_table, read_landing, start_landing, visible_events  # noqa: E402
 from tributary.streaming.envelope import TARGET  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,8 +178,19 @@ def stream_route_counts(spark: SparkSession, folder: str) -> DataFrame:
 def parquet_payloads(spark: SparkSession, folder: str) -> DataFrame:
     columns = BRONZE["transactions"].names[:-1]
     rows = explode_parquet_payloads(sample.transaction_payloads(spark, folder), "payload", columns)
-    # The text of an amount differs between engines (1.0E7); the rest is compared as it is.
-    return rows.drop("amount").withColumn("raw_text", F.col(RAW).cast("string")).drop(RAW)
+    # The text of an amount differs between engines (1.0E7), its value does not.
+    amount = F.col("amount").try_cast("double")
+    return rows.withColumns({"amount": amount, "raw_text": F.col(RAW).cast("string")}).drop(RAW)
+
+
+def bronze_copy(spark: SparkSession, folder: str) -> DataFrame:
+    """Landing tables copied to bronze, and the transactions read from there."""
+    root = scratch_folder(spark)
+    start_landing(
+        sample.event_files(spark, folder), f"{root}/landing", trigger={"availableNow": True}
+    ).awaitTermination()
+    copy_tables(partial(read_landing, spark, f"{root}/landing"), f"{root}/bronze")
+    return read_bronze(spark, f"{root}/bronze", "transactions")
 
 
 def run_all(spark: SparkSession, folder: str) -> DataFrame:
@@ -251,6 +262,7 @@ def queries() -> dict[str, Query]:
         "ingest_rejects": _landed(REJECTS),
         "stream_route_counts": stream_route_counts,
         "parquet_payloads": parquet_payloads,
+        "bronze_copy": bronze_copy,
         "run_all": run_all,
         **LLM_QUERIES,
     }

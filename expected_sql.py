@@ -136,9 +136,12 @@ visible AS (
   SELECT n, user_id, value, entity, entity || '-topic' AS topic,
     CASE WHEN n % 17 = 0 THEN 'not json' WHEN n % 19 = 0 THEN '[1]'
       WHEN n % 23 = 0 THEN '{"account_id":"x","zzz":1}'
+      WHEN n % 29 = 0 THEN '{"amount":1},{"end-of-body":""}] junk'
+      WHEN n % 31 = 0 THEN '5,"end-of-body"] junk'
       WHEN entity = 'customers' THEN '{"CustomerID":"CUST-' || user_id || '"}'
       ELSE '{"account_id":"ACC-' || user_id || '","amount":' || value || '}' END AS body,
-    CASE WHEN n % 17 = 0 THEN 'raw' WHEN n % 19 = 0 OR n % 23 = 0 THEN 'reject' ELSE 'parsed' END AS kind
+    CASE WHEN n % 17 = 0 THEN 'raw' WHEN n % 19 = 0 OR n % 23 = 0 THEN 'reject'
+      WHEN n % 29 = 0 OR n % 31 = 0 THEN 'raw' ELSE 'parsed' END AS kind
   FROM sent
   WHERE n % 13 <> 0
 ),
@@ -339,12 +342,13 @@ EXPECTED = {
         SELECT CASE WHEN n % 61 <> 0 THEN 'TX-' || n END AS transaction_id,
           'ACC-' || o_custkey AS account_id,
           CASE WHEN n % 2 = 0 THEN 'credit' ELSE ' debit' END AS transaction_type,
+          CASE WHEN n % 71 <> 0 THEN CAST(o_totalprice AS DOUBLE) END AS amount,
           CASE WHEN n % 73 = 0 THEN 'USD ' ELSE {CURRENCY} END AS currency,
           CASE WHEN n % 79 = 0 THEN 'bad-date' ELSE strftime(o_orderdate, '%Y-%m-%d') || ' 10:00:00' END AS transaction_date,
           'order ' || o_orderpriority AS description, {NO_MEASURE} AS raw_text
         FROM (SELECT o_orderkey AS n, * FROM orders) WHERE n % 67 <> 0
         UNION ALL
-        SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'order ' || o_orderpriority
+        SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'order ' || o_orderpriority
         FROM orders WHERE o_orderkey % 67 = 0""",
     ),
     # whole refresh
@@ -356,3 +360,6 @@ EXPECTED = {
         ),
     ),
 }
+
+# Bronze is a copy of the landing tables.
+EXPECTED["bronze_copy"] = EXPECTED["ingest_transactions"]

@@ -76,6 +76,8 @@ BODIES = [
     "true", '{"amount":null}', '{"amount":{"b":[1,2]}}', '{"amount":1,}', "{amount:1}",
     '{"amount":"x\ny"}', '{"amount":01}', ' {"amount":1}\n', '{"amount":NaN}', '5,"x":{}',
     '[{"amount":1}]', "-", '{"amount":"\\x"}', '﻿{"amount":1}', "", " \t\n", " ",
+    '{"amount":1},{"end-of-body":""}] junk', '5,"end-of-body"] junk', '{"amount":"end-of-body"}',
+    '{"amount":1},{"\\u0065nd-of-body":""}] junk', '"end-of-body"', '{"amount":1},{"end-of-body":""}',
     '{"AMOUNT":1,"Account_Id":2}', '{"amount":1,"AMOUNT":2}', '{"raw_data":"x"}', "not json",
 ]
 
@@ -98,7 +100,8 @@ names = st.one_of(st.sampled_from([*COLUMNS, "AMOUNT", "Account_ID"]), st.text(m
 objects = st.dictionaries(names, scalars, max_size=3)
 json_text = st.one_of(objects, scalars).map(json.dumps)
 damaged = st.tuples(json_text, st.integers(0, 40)).map(lambda p: p[0][: p[1]])
-doubled = st.tuples(json_text, st.sampled_from(["", " ", ",", "]", "}"]), json_text).map("".join)
+glue = ["", " ", ",", "]", "}", ',"end-of-body"]', ',{"end-of-body":""}]']
+doubled = st.tuples(json_text, st.sampled_from(glue), json_text).map("".join)
 PARSED_RAW_DATA = '"raw_data"'
 
 

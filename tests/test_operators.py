@@ -150,6 +150,24 @@ def test_enrich_equals_a_left_join(spark, found, min_part_rows, max_parts):
     assert values(got) == values(facts.join(dimension, "k", "left"))
 
 
+KINDS = [("int", "bigint"), ("bigint", "int"), ("string", "string"), ("int", "int"), ("int", "double")]
+
+
+@pytest.mark.parametrize("kinds", KINDS)
+def test_enrich_with_every_bucket_hot_equals_a_left_join(spark, kinds):
+    facts = spark.range(1000).selectExpr(f"cast(id % 200 as {kinds[0]}) k", "id i")
+    twice = spark.sql(f"SELECT cast(60 AS {kinds[1]}), 0L")
+    dimension = spark.range(50, 300).selectExpr(f"cast(id as {kinds[1]}) k", "id a").union(twice)
+    got = enrich(facts, dimension, "k", min_part_rows=1)
+    assert values(got) == values(facts.join(dimension, "k", "left"))
+    assert got.schema["k"].dataType == facts.schema["k"].dataType
+
+
+def test_enrich_refuses_keys_of_unequal_kinds(spark):
+    with pytest.raises(TypeError):
+        enrich(spark.range(3), spark.sql("SELECT '1' AS id, 2 AS a"), "id")
+
+
 @pytest.fixture
 def plain_plans(spark):
     """Plans as written: no runtime re-planning and no automatic broadcasts."""

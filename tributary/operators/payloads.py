@@ -40,22 +40,14 @@ def explode_parquet_payloads(df: DataFrame, payload: str, columns: list[str]) ->
     return df.select(payload).mapInArrow(explode, schema)
 
 
-def _rows_of(message: bytes, columns: list[str], target: pa.Schema) -> Iterator[pa.RecordBatch]:
-    if _readable(message, columns, target):
-        yield from _text_batches(message, columns, target)
-    else:
-        empty = [pa.nulls(1, pa.string()) for _ in columns]
-        yield pa.RecordBatch.from_arrays([*empty, pa.array([message], pa.binary())], schema=target)
-
-
-def _readable(message: bytes, columns: list[str], target: pa.Schema) -> bool:
-    """Decode once without keeping anything, so a payload broken half-way emits none of its rows."""
+def _rows_of(message: bytes, columns: list[str], target: pa.Schema) -> list[pa.RecordBatch]:
+    """Decoded whole before anything is emitted, so a payload broken half-way emits none of its rows."""
     try:
-        for _ in _text_batches(message, columns, target):
-            pass
+        return list(_text_batches(message, columns, target))
     except (pa.ArrowException, OSError, KeyError):
-        return False
-    return True
+        empty = [pa.nulls(1, pa.string()) for _ in columns]
+        raw = [*empty, pa.array([message], pa.binary())]
+        return [pa.RecordBatch.from_arrays(raw, schema=target)]
 
 
 def _text_batches(

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from tributary.plans import gold
 from tributary.plans.silver import SILVER_TABLES
 from tributary.schemas import SILVER
-from tributary.sources.scratch import scratch_folder
 from tributary.sources.tables import read_bronze, read_table, write_table
 
 Tables = Callable[[DataFrame], dict[str, DataFrame]]
@@ -40,7 +39,11 @@ GOLD_TABLES = (
 
 @dataclass(frozen=True)
 class Lakehouse:
-    """Folders of the three layers, the gold format, and the clocks (now when not given)."""
+    """Folders of the three layers, the gold format, and the clocks (now when not given).
+
+    ``dedup`` names the entities, of customers and transactions, whose repeated ids are reduced to
+    the newest row in silver; accounts and branches always are.
+    """
 
     spark: SparkSession
     bronze: str
@@ -49,9 +52,16 @@ class Lakehouse:
     fmt: str = "parquet"
     as_of: date | None = None
     loaded_at: datetime | None = None
+    dedup: tuple[str, ...] = ()
+
+    @property
+    def staging(self) -> str:
+        """Subtotals of the running refresh; the next one overwrites them."""
+        return f"{self.gold}/_staging"
 
     def refresh_silver(self, entity: str) -> DataFrame:
-        rows = SILVER_TABLES[entity](read_bronze(self.spark, self.bronze, entity))
+        options = {"dedup": True} if entity in self.dedup else {}
+        rows = SILVER_TABLES[entity](read_bronze(self.spark, self.bronze, entity), **options)
         write_table(rows, self.silver, entity)
         return read_table(self.spark, self.silver, entity, schema=SILVER[entity])
 
@@ -102,11 +112,10 @@ def refresh_branches(lake: Lakehouse) -> None:
 def refresh_transactions(lake: Lakehouse) -> None:
     """Six tables from three passes over the transactions, two of them by way of subtotals."""
     transactions = lake.refresh_silver("transactions")
-    staging = scratch_folder(lake.spark)
 
     def by_way_of(name: str, subtotals: DataFrame, tables: Tables) -> None:
-        write_table(subtotals, staging, name)
-        written = tables(read_table(lake.spark, staging, name))
+        write_table(subtotals, lake.staging, name)
+        written = tables(read_table(lake.spark, lake.staging, name))
         side_by_side(*(partial(lake.save, *table) for table in written.items()))
 
     side_by_side(
@@ -125,6 +134,7 @@ def run_all(lake: Lakehouse) -> None:
     """Refresh every table.
 
     The four entities share nothing until the star join. Each table starts from tables on disk, so a
-    lost executor costs a few tasks of one table.
+    lost executor costs a few tasks of one table. Parquet tables are replaced in place: readers may
+    miss one while it is written, unless ``fmt`` is a table format with atomic overwrite.
     """
     side_by_side(*(partial(refresh, lake) for refresh in ENTITIES))

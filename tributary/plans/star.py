@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.operators import enrich
@@ -10,13 +10,20 @@ from tributary.plans.gold import transactions_clean
 
 
 def star_transactions(
-    transactions: DataFrame, accounts: DataFrame, customers: DataFrame, **limits: int
+    transactions: DataFrame,
+    accounts: DataFrame,
+    customers: DataFrame,
+    where: Column | None = None,
+    **limits: int,
 ) -> DataFrame:
     """Silver transactions left join ``dim_account`` left join ``dim_customer``.
 
     Accounts meet their customers first, at the size of the account table, so the transactions are
     shuffled once and not twice. Unknown ids keep their row, with NULL attributes.
+    ``where`` selects transactions; given here it reaches their scan, also that of the key counts.
     """
+    if where is not None:
+        transactions = transactions.filter(where)
     account_columns = accounts.select(
         F.col("account_id").alias("Account_ID"),
         "customer_id",

@@ -183,6 +183,10 @@ BRONZE_TABLES = {
 }
 
 
+# Bodies that try to close the array they are parsed in.
+FORGED = '{"amount":1},{"end-of-body":""}] junk'
+
+
 def event_bodies(events: DataFrame) -> DataFrame:
     """``events`` rows (batch or stream) as ``(topic, body)``."""
     n, user = F.col("event_id"), F.col("user_id").cast("string")
@@ -201,6 +205,8 @@ def event_bodies(events: DataFrame) -> DataFrame:
         .when(n % 17 == 0, "not json")
         .when(n % 19 == 0, "[1]")
         .when(n % 23 == 0, '{"account_id":"x","zzz":1}')
+        .when(n % 29 == 0, FORGED)
+        .when(n % 31 == 0, '5,"end-of-body"] junk')
         .when(kind == "signup", customer)
         .otherwise(other)
     )

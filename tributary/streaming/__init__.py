@@ -4,12 +4,14 @@ from tributary.streaming.envelope import landing_rows, landing_table, visible_ev
 from tributary.streaming.landing import (
     database_sink,
     event_stream,
+    create_landing,
     folder_sink,
     read_landing,
     start_landing,
 )
 
 __all__ = [
+    "create_landing",
     "database_sink",
     "event_stream",
     "folder_sink",

@@ -23,8 +23,9 @@ from tributary.schemas import BRONZE, PARSED_TABLES, RAW, REJECTS, TOPICS
 # Strict JSON, as opposed to the lenient default.
 STRICT = {"allowSingleQuotes": "false"}
 
-# Bodies are parsed as the first item of an array closed by this marker. It is the second and last
-# item only if the body is exactly one JSON value: the parser itself ignores trailing text.
+# Bodies are parsed as the first item of an array closed by a marker. It is the second and last
+# item only if the body is exactly one JSON value: the parser itself ignores trailing text. A body
+# that spells out the marker gets one with its own digest, which no body can contain.
 END = "end-of-body"
 
 TARGET = "target"
@@ -47,8 +48,15 @@ def _table_of(topic: Column) -> Column:
     return F.try_element_at(F.create_map(*entries), topic)
 
 
-def _closed_array(body: Column, item: str, end: str) -> Column:
-    text = F.concat(F.lit("["), body, F.lit(f",{end}]"))
+def _marker(body: Column) -> Column:
+    own = F.concat(F.lit(f"{END}-"), F.sha2(body, 256))
+    # A backslash may hide the marker's letters.
+    spelled = F.contains(body, F.lit(END)) | F.contains(body, F.lit("\\u"))
+    return F.when(spelled, own).otherwise(F.lit(END))
+
+
+def _closed_array(body: Column, item: str, end: Column) -> Column:
+    text = F.concat(F.lit("["), body, F.lit(","), end, F.lit("]"))
     return F.from_json(text, f"array<{item}>", STRICT)
 
 
@@ -68,7 +76,9 @@ def landing_rows(events: DataFrame) -> DataFrame:
     """
     table, body = F.col("_table"), F.col("body")
     parses = table.isin(*PARSED_TABLES)
-    items = F.when(parses, _closed_array(body, "map<string,string>", f'{{"{END}":""}}'))
+    marker = _marker(body)
+    end_object = F.concat(F.lit('{"'), marker, F.lit('":""}'))
+    items = F.when(parses, _closed_array(body, "map<string,string>", end_object))
     routed = (
         visible_events(events)
         .withColumn("_table", _table_of(F.col("topic")))
@@ -77,7 +87,7 @@ def landing_rows(events: DataFrame) -> DataFrame:
     )
 
     # One whole object: two items, the second being the marker.
-    is_marker = F.get(F.map_keys(F.get(F.col("_items"), F.lit(1))), F.lit(0)) == END
+    is_marker = F.get(F.map_keys(F.get(F.col("_items"), F.lit(1))), F.lit(0)) == marker
     whole = (F.size("_items") == 2) & is_marker
     # A repeated key counts once, with its last value: keys are looked up from the end.
     located = (
@@ -89,11 +99,14 @@ def landing_rows(events: DataFrame) -> DataFrame:
         # Only a body that is no object needs the second look for other JSON values.
         .withColumn(
             "_other",
-            F.when(parses & ~F.col("_whole"), _closed_array(body, "string", f'"{END}"')),
+            F.when(
+                parses & ~F.col("_whole"),
+                _closed_array(body, "string", F.concat(F.lit('"'), marker, F.lit('"'))),
+            ),
         )
     )
     same_spelling = F.size(F.array_distinct("_spelled")) == F.size(F.array_distinct("_keys"))
-    other = (F.size("_other") == 2) & (F.get(F.col("_other"), F.lit(1)) == END)
+    other = (F.size("_other") == 2) & (F.get(F.col("_other"), F.lit(1)) == marker)
     kind = (
         F.when(_names_columns(F.col("_keys"), table) & same_spelling, PARSED)
         .when(F.col("_whole") | other, REJECT)

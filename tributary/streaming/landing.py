@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tributary.schemas import BRONZE, REJECTS, TOPICS
-from tributary.streaming.envelope import TARGET, landing_columns, landing_rows, table_columns
+from tributary.streaming.envelope import (
+    LANDING_COLUMNS,
+    TARGET,
+    landing_columns,
+    landing_rows,
+    table_columns,
+)
 
 CADENCE = "10 minutes"
 
@@ -74,6 +80,12 @@ def database_sink(url: str, properties: Mapping[str, str]) -> Sink:
     return land
 
 
+def create_landing(spark: SparkSession, landing: str) -> None:
+    """The landing tables, empty, where there are none yet, so that they can be read at once."""
+    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in ["topic", *LANDING_COLUMNS]))
+    empty.write.mode("overwrite").parquet(f"{landing}/batch=-1/{TARGET}=customers")
+
+
 def start_landing(
     events: DataFrame,
     landing: str,
@@ -86,8 +98,12 @@ def start_landing(
     Each micro-batch is read and classified once. The checkpoint sits inside ``landing`` unless
     given: batch ids only mean something together with the checkpoint that issued them.
 
+    Without a sink of its own the landing tables exist from the start.
+
     ``trigger`` defaults to every ten minutes; use ``{"availableNow": True}`` to drain and stop.
     """
+    if sink is None:
+        create_landing(events.sparkSession, landing)
     return (
         events.writeStream.foreachBatch(sink or folder_sink(landing))
         .option("checkpointLocation", checkpoint or f"{landing}/_checkpoint")
