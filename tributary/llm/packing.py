@@ -4,9 +4,9 @@
    pieces are sequences of their own, so only the short pieces are packed.
 2. Pieces are dealt out to parts of bounded size. Each part is packed by best-fit decreasing, and
    dual feasible functions give a lower bound for its number of sequences. Where both agree the part
-   is certified and its sequences stay.
-3. Elsewhere the sequences that leave a gap are given up: their pieces are dealt out anew, together
-   with those of other such parts, and packed again, until all parts are certified or a round saves
+   is certified and its sequences stay, but for a rest less than half full.
+3. That rest, and elsewhere all sequences that leave a gap, are given up: their pieces are dealt out anew, together
+   with those of other such parts, and packed again, until nothing is left or a round saves
    nothing. The best packing of each piece is kept.
 """
 
@@ -214,7 +214,7 @@ def pack_documents(
         dealt = left.select(*columns).withColumn("part", F.pmod(F.xxhash64("id", "piece", F.lit(turn)), F.lit(parts)))
         packed = stage.table(dealt.groupBy("part").applyInPandas(_pack(capacity), _PACKED), f"round{turn}")
         packed = packed.withColumn("round", F.lit(turn))
-        stays = F.col("certified") | (F.col("fill") == capacity)
+        stays = (F.col("certified") & (2 * F.col("fill") > capacity)) | (F.col("fill") == capacity)
         head = F.col("offset") == 0
         n, open_, sequences = packed.agg(F.count_if(~stays), F.count_if(~stays & head), F.count_if(head)).first()
         if given_up is not None and sequences >= given_up:

@@ -59,6 +59,17 @@ class Words:
 
     hashes: np.ndarray
     first: np.ndarray
+    #: Where words begin and end in the bytes, and the running polynomial of the bytes.
+    starts: np.ndarray
+    ends: np.ndarray
+    total: np.ndarray
+
+    def heads(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the first ``size`` bytes of the words that are longer, and which words those are."""
+        long = np.flatnonzero(self.ends - self.starts > size)
+        at = self.starts[long]
+        down = _BYTES.upto(len(self.total))[1]
+        return mix((self.total[at + size] - self.total[at]) * down[at] + np.uint64(size)), long
 
     @property
     def counts(self) -> np.ndarray:
@@ -99,7 +110,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False, gap: np
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOWER if lower else _VALUE)[data] * up[:-1], out=total[1:])
     hashes = mix((total[ends] - total[starts]) * down[starts])
-    return Words(hashes, np.searchsorted(starts, offsets))
+    return Words(hashes, np.searchsorted(starts, offsets), starts, ends, total)
 
 
 def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

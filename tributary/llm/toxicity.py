@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from tributary.llm.tokens import chunks, words_of
 
 #: Labelled documents that models are fitted on at most, words they know, folds, steps, ridge penalty.
-SAMPLE, VOCABULARY, FOLDS, STEPS, RIDGE = 5_000, 1_500, 4, 80, 1e-3
+SAMPLE, VOCABULARY, FOLDS, STEPS, RIDGE = 5_000, 2_000, 4, 80, 1e-3
+#: Beginnings of words that count as words of their own, in bytes: inflected and compound forms share them.
+HEADS = (4, 5, 6)
 #: Words that mark a category among toxic documents (fixed values); the last category is the label itself.
 CATEGORIES = {
     "insult": ("idiot", "moron", "stupid", "fool", "dumb", "loser", "clown"),
@@ -91,14 +93,20 @@ def fit_chain(doc: np.ndarray, word: np.ndarray, labels: np.ndarray, words: np.n
 
 
 def _presence(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """First row, end row, and distinct pairs (row, word hash) of each run of rows."""
+    """First row, end row, and pairs (row, hash of a word or its beginning) of each run of rows."""
     for first, end, data, at in chunks(column):
         words = words_of(data, at, lower=True, gap=_GAP)
-        yield first, end, np.repeat(np.arange(end - first), words.counts), words.hashes
+        doc, found = [np.repeat(np.arange(end - first), words.counts)], [words.hashes]
+        for size in HEADS:
+            heads, which = words.heads(size)
+            doc.append(doc[0][which])
+            found.append(heads)
+        yield first, end, np.concatenate(doc), np.concatenate(found)
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
-    return np.concatenate([h for _, _, _, h in _presence(pa.array(words))]) if words else np.zeros(0, np.uint64)
+    data = " ".join(words).encode()
+    return words_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]), lower=True, gap=_GAP).hashes
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Chain | None:
