@@ -261,9 +261,22 @@ def _labels(source: DataFrame, classes: DataFrame, stage: Stage, shingle: int) -
     for more in pairs[1:]:
         leaves = leaves.union(more)
     leaves = stage.table(leaves.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "leaves")
+    # One pair of each two components first: where it is a link, their other pairs need no look.
+    for turn in range(1, AHEAD + 1):
+        apart = _apart(leaves, labels)
+        one = stage.table(apart.groupBy("label_a", "label_b").agg(F.min(F.struct(F.xxhash64("a", "b", F.lit(turn)).alias("o"), "a", "b")).alias("p")).select("p.a", "p.b"), f"ones{turn}")
+        labels = _contracted(labels, _confirm(one, sets, SIMILARITY), stage, f"one{turn}")
+    leaves = stage.table(_apart(leaves, labels).select("a", "b"), "leaves-apart")
     return _contracted(labels, _confirm(leaves, sets, SIMILARITY), stage, "leaf")
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of different components, with the labels in order."""
+    left, right = (labels.select(F.col("cls").alias(k), F.col("label").alias(f"l{k}")) for k in "ab")
+    both = pairs.join(left, "a").join(right, "b").where("la <> lb")
+    return both.select("a", "b", F.least("la", "lb").alias("label_a"), F.greatest("la", "lb").alias("label_b"))
+
+
 def _sets_of(source: DataFrame, classes: DataFrame, some: DataFrame, shingle: int) -> DataFrame:
     """(cls, hashes) of the given classes, from the text of the document with the smallest id."""
     first = classes.join(some, "cls").select("first")
