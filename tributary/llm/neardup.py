@@ -11,7 +11,9 @@ pair at the threshold is expected to stay together in as many children as it cam
 * Other nodes up to ``LEAF`` members are compared exhaustively, larger ones branch on.
 * What is still large after the last level is compared block by block, so no pair is left out.
 
-Candidates are confirmed on the full sets. A pair at the threshold shares a node of one tree's first
+These comparisons are of sketches and name the members that have likely partners, not the pairs: a
+node gives fewer rows than it has members. Clusters of such members are then compared on their full
+sets, block by block within a task. A pair at the threshold shares a node of one tree's first
 level with probability 3/4, so ``TREES`` trees miss it with (1/4) ** TREES where nodes are small.
 """
 
@@ -29,8 +31,10 @@ from tributary.llm.tables import Stage
 from tributary.llm.tokens import chunks, mix, words_of
 
 SHINGLE, SIMILARITY = 5, 75
-#: Independent trees, those whose links are contracted before the others are looked at, minwise coordinates, members compared exhaustively, levels, block of the rest.
-TREES, AHEAD, COORDINATES, LEAF, LEVELS, BLOCK = 14, 2, 40, 24, 5, 256
+#: Independent trees, those whose links are contracted before the others are looked at, minwise coordinates, members compared exhaustively, levels.
+TREES, AHEAD, COORDINATES, LEAF, LEVELS = 14, 2, 40, 24, 5
+#: Members, and shingles where they are many, of a block; a task holds two blocks at a time.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 19
 #: Coordinates that must agree before two sets are compared in full. Of 40, a pair at the threshold
 #: has fewer than 14 with probability 2e-7.
 AGREE = 14
@@ -111,30 +115,100 @@ def _full_sets(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return run
 
 
-def _pairs(table: pa.RecordBatch) -> tuple[list[bytes], list[bytes]]:
-    """Likely pairs of the rows of one list column ``m`` of (cls, n, sketch, label, side)."""
+def _rows(table: pa.RecordBatch) -> tuple[pa.StructArray, list[tuple[int, int]], list[np.ndarray]]:
+    """The rows of list column ``m``, where each list begins and ends, and sketch, n, label, side."""
     lists = table.column("m")
     ends, rows = lists.offsets.to_numpy(), lists.values
-    cls, n, label, side = rows.field("cls"), *(rows.field(f).to_numpy(zero_copy_only=False) for f in ("n", "label", "side"))
+    columns = [rows.field(f).to_numpy(zero_copy_only=False) for f in ("n", "label", "side")]
     sketches = rows.field("sketch").values.to_numpy().reshape(-1, COORDINATES)
+    return rows, list(zip(ends[:-1].tolist(), ends[1:].tolist())), [sketches, *columns]
+
+
+def _partners(k: int, sketch: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Members after k that may be similar to k and are of another component."""
+    far = slice(k + 1, None)
+    other = (label[far] != label[k]) & ((side[far] != side[k]) | (side[k] == 0))
+    other &= 100 * np.minimum(n[far], n[k]) >= SIMILARITY * np.maximum(n[far], n[k])
+    at = np.flatnonzero(other) + k + 1
+    return at[(sketch[at] == sketch[k]).sum(axis=1) >= AGREE] if len(at) else at
+
+
+def _near(table: pa.RecordBatch) -> list[pa.Array]:
+    """Members of each list that have a likely partner, with a root that likely partners share."""
+    rows, spans, columns = _rows(table)
+    found, roots = [], []
+    for lo, hi in spans:
+        own = [c[lo:hi] for c in columns]
+        root, some = own[2].copy(), np.zeros(hi - lo, bool)
+        for k in range(hi - lo - 1):
+            partners = _partners(k, *own)
+            if len(partners):
+                some[k] = some[partners] = True
+                _merge(root, k, partners)
+        at = np.flatnonzero(some)
+        found.append(at + lo)
+        roots.append(root[at])
+    taken = np.concatenate(found) if found else np.zeros(0, np.int64)
+    root = np.concatenate(roots) if roots else np.zeros(0, np.int64)
+    return [rows.field("cls").take(pa.array(taken)), pa.array(columns[2][taken]), pa.array(root)]
+
+
+def _merge(root: np.ndarray, k: int, others: np.ndarray) -> list[int]:
+    """Gives the roots of the others to k's; the roots that are replaced."""
+    gone = np.unique(root[others])
+    gone = gone[gone != root[k]]
+    if len(gone):
+        root[np.isin(root, gone)] = root[k]
+    return gone.tolist()
+
+
+def _linked(table: pa.RecordBatch) -> list[pa.Array]:
+    """Labels that similar members of each list connect, by their full sets in ``hashes``.
+
+    What is connected already is not compared, so a list gives fewer links than it has members.
+    """
+    rows, spans, columns = _rows(table)
+    sets = rows.field("hashes")
+    ends, hashes = sets.offsets.to_numpy(), sets.values.to_numpy()
     left, right = [], []
-    for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist()):
-        own, size, group, part = sketches[lo:hi], n[lo:hi], label[lo:hi], side[lo:hi]
+    for lo, hi in spans:
+        sketch, n, label, side = (c[lo:hi] for c in columns)
+        cut = ends[lo : hi + 1] - ends[lo]
+        codes = np.unique(hashes[ends[lo] : ends[hi]], return_inverse=True)[1]
+        marked, root = np.zeros(len(codes), bool), label.copy()
         for k in range(hi - lo - 1):
-            far = slice(k + 1, None)
-            agree = (own[far] == own[k]).sum(axis=1) >= AGREE
-            agree &= (group[far] != group[k]) & ((part[far] != part[k]) | (part[k] == 0))
-            small, big = np.minimum(size[far], size[k]), np.maximum(size[far], size[k])
-            for other in (np.flatnonzero(agree & (100 * small >= SIMILARITY * big)) + lo + k + 1).tolist():
-                left.append(lo + k)
-                right.append(other)
-    return cls.take(pa.array(left, pa.int64())), cls.take(pa.array(right, pa.int64()))
+            partners = _partners(k, sketch, n, root, side)
+            if not len(partners):
+                continue
+            mine = codes[cut[k] : cut[k + 1]]
+            marked[mine] = True
+            if len(partners) < 16:
+                common = np.array([np.count_nonzero(marked[codes[cut[p] : cut[p + 1]]]) for p in partners.tolist()])
+            else:
+                first = cut[k + 1]
+                common = np.add.reduceat(marked[codes[first:]], cut[k + 1 : -1] - first, dtype=np.int64)[partners - k - 1]
+            marked[mine] = False
+            own = root[k]
+            for gone in _merge(root, k, partners[100 * common >= SIMILARITY * (n[partners] + n[k] - common)]):
+                left.append(own)
+                right.append(gone)
+    return [pa.array(left, pa.int64()), pa.array(right, pa.int64())]
+
+
+def _by_lists(
+    work: Callable[[pa.RecordBatch], list[pa.Array]], names: list[str], lists: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, lists):
+                yield pa.RecordBatch.from_arrays(work(_compact(batch.slice(k, lists))), names)
+
+    return run
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k in range(0, batch.num_rows, 512):
-            yield pa.RecordBatch.from_arrays(list(_pairs(batch.slice(k, 512))), ["a", "b"])
+def _compact(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The same rows without those of the batch that it was cut from."""
+    return batch.take(pa.array(np.arange(batch.num_rows)))
 
 
 def _likely(spokes: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
@@ -171,24 +245,50 @@ def _children(members: DataFrame, level: int) -> DataFrame:
     return sent.select(F.xxhash64("node", "way", *picks).alias("node"), "cls")
 
 
-def _leaf_pairs(members: DataFrame) -> DataFrame:
-    """Likely pairs of small nodes, but for those of one component."""
-    lists = members.withColumn("side", F.lit(0)).groupBy("node").agg(
-        F.collect_list(F.struct("cls", "n", "sketch", "label", "side")).alias("m")
-    )
-    return lists.select("m").mapInArrow(_compare, "a binary, b binary")
+_NEAR = "cls binary, label bigint, root bigint"
+
 
+def _in_leaves(members: DataFrame) -> DataFrame:
+    """(cls, label, root) of the members of small nodes that have a likely partner there."""
+    lists = members.withColumn("side", F.lit(0)).groupBy("node").agg(F.collect_list(F.struct(*_MEMBER)).alias("m"))
+    return lists.select("m").mapInArrow(_by_lists(_near, ["cls", "label", "root"], 512), _NEAR)
 
-def _block_pairs(members: DataFrame) -> DataFrame:
-    """Likely pairs of nodes of any size: members are cut into blocks, and each two blocks meet."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    cut = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cls", "node"), "blocks").cast("int"))
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """The same for nodes of any size, block by block."""
+    lists = _met(members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")), "node", _MEMBER)
+    return lists.mapInArrow(_by_lists(_near, ["cls", "label", "root"], 64), _NEAR)
+
+
+_MEMBER = ("cls", "n", "sketch", "label", "side")
+
+
+def _met(members: DataFrame, group: str, columns: tuple[str, ...]) -> DataFrame:
+    """Lists ``m`` in which each two members of a group meet: it is cut into ``blocks``, and each two blocks meet."""
+    cut = members.withColumn("block", F.pmod(F.xxhash64("cls", group), "blocks").cast("int"))
     met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
-    lists = met.select(
-        "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "n", "sketch", "label", side.alias("side")
-    ).groupBy("node", "i", "j").agg(F.collect_list(F.struct("cls", "n", "sketch", "label", "side")).alias("m"))
-    return lists.select("m").mapInArrow(_compare, "a binary, b binary")
+    met = met.select("*", side.alias("side"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return met.groupBy(group, "i", "j").agg(F.collect_list(F.struct(*columns)).alias("m")).select("m")
+
+
+def _exact(near: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame, stage: Stage) -> DataFrame:
+    """Labels after comparing in full all members (cls, label, root) that have likely partners.
+
+    Likely partners share a root, so clusters of connected roots hold all likely pairs. Each set is
+    sent once for each block of its cluster, not once for each pair.
+    """
+    roots = stage.table(near.select(F.col("label").alias("a"), F.col("root").alias("b")).where("a <> b").distinct(), "near-ends")
+    if roots.isEmpty():
+        return labels
+    clusters = components(roots, stage, "near-cc").select(F.col("v").alias("label"), F.col("label").alias("cluster"))
+    members = near.select("cls", "label").distinct().join(clusters, "label").join(classes.select("cls", "n", "sketch"), "cls")
+    members = stage.table(members, "near-members")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = stage.table(members.groupBy("cluster").agg(blocks.alias("blocks")), "near-sizes")
+    whole = members.join(sizes, "cluster").join(sets, "cls")
+    links = _met(whole, "cluster", (*_MEMBER, "hashes")).mapInArrow(_by_lists(_linked, ["a", "b"], 16), "a bigint, b bigint")
+    return _merged(labels, stage.table(links.distinct(), "near-links"), stage, "near")
 
 
 def near_duplicates(
@@ -234,7 +334,7 @@ def _labels(source: DataFrame, classes: DataFrame, stage: Stage, shingle: int) -
     inside = stage.table(inside.join(often, "cls"), "inside1")
     sets = stage.table(_sets_of(source, classes, often, shingle), "sets")
     labels = _star(inside.where(F.col("tree") < AHEAD), classes, sets, labels, stage, "ahead")
-    pairs: list[DataFrame] = []
+    near: list[DataFrame] = []
     for level in range(1, LEVELS + 1):
         if level > 1:
             hub = F.min(F.struct(F.xxhash64("cls", "node").alias("o"), "cls")).alias("hub")
@@ -249,32 +349,18 @@ def _labels(source: DataFrame, classes: DataFrame, stage: Stage, shingle: int) -
         open_ = stage.table(grouped.groupBy("node").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("node"), f"open{level}")
         rest = grouped.join(open_, "node").join(classes.select("cls", "n", "sketch"), "cls")
         rest = stage.table(rest.select("node", "size", "cls", "label", "n", "sketch"), f"rest{level}")
-        pairs.append(_leaf_pairs(rest.where(F.col("size") <= LEAF)))
+        near.append(_in_leaves(rest.where(F.col("size") <= LEAF)))
         large = rest.where(F.col("size") > LEAF)
         if large.isEmpty():
             break
         if level == LEVELS:
-            pairs.append(_block_pairs(large))
+            near.append(_in_blocks(large))
         else:
             members = stage.table(_children(large, level), f"sent{level}")
-    leaves = pairs[0]
-    for more in pairs[1:]:
-        leaves = leaves.union(more)
-    leaves = stage.table(leaves.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "leaves")
-    # One pair of each two components first: where it is a link, their other pairs need no look.
-    for turn in range(1, AHEAD + 1):
-        apart = _apart(leaves, labels)
-        one = stage.table(apart.groupBy("label_a", "label_b").agg(F.min(F.struct(F.xxhash64("a", "b", F.lit(turn)).alias("o"), "a", "b")).alias("p")).select("p.a", "p.b"), f"ones{turn}")
-        labels = _contracted(labels, _confirm(one, sets, SIMILARITY), stage, f"one{turn}")
-    leaves = stage.table(_apart(leaves, labels).select("a", "b"), "leaves-apart")
-    return _contracted(labels, _confirm(leaves, sets, SIMILARITY), stage, "leaf")
-
-
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components, with the labels in order."""
-    left, right = (labels.select(F.col("cls").alias(k), F.col("label").alias(f"l{k}")) for k in "ab")
-    both = pairs.join(left, "a").join(right, "b").where("la <> lb")
-    return both.select("a", "b", F.least("la", "lb").alias("label_a"), F.greatest("la", "lb").alias("label_b"))
+    found = near[0]
+    for more in near[1:]:
+        found = found.union(more)
+    return _exact(stage.table(found.distinct(), "near"), classes, sets, labels, stage)
 
 
 def _sets_of(source: DataFrame, classes: DataFrame, some: DataFrame, shingle: int) -> DataFrame:
@@ -302,7 +388,11 @@ def _contracted(labels: DataFrame, links: DataFrame, stage: Stage, name: str) ->
     """Labels after joining the components that the links connect."""
     left, right = (labels.select(F.col("cls").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
     ends = links.join(left, "a").join(right, "b").where("label_a <> label_b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-    ends = stage.table(ends.distinct(), f"{name}-ends")
+    return _merged(labels, stage.table(ends.distinct(), f"{name}-ends"), stage, name)
+
+
+def _merged(labels: DataFrame, ends: DataFrame, stage: Stage, name: str) -> DataFrame:
+    """Labels after joining those that the links (a, b) between labels connect."""
     if ends.isEmpty():
         return labels
     found = components(ends, stage, f"{name}-cc").select(F.col("v").alias("label"), F.col("label").alias("lower"))
