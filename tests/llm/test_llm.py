@@ -350,3 +350,27 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark):
     assert docs.where("text rlike 'AKIA[A-Z0-9]{16}'").count() == 0
     pieces = corpus_pipeline.run(spark, SMALL)
     assert pieces.select("doc_id").distinct().count() == docs.count()
+
+
+def test_near_duplicates_of_a_group_cut_into_blocks(spark, monkeypatch):
+    """Texts of one origin, their similarities on both sides of the limit, in blocks far smaller than the group."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 1_000)
+    random = np.random.default_rng(5)
+    origin = [f"w{k}" for k in range(80)]
+    texts = [
+        " ".join(f"x{doc}" if k in changed else w for k, w in enumerate(origin))
+        for doc in range(120)
+        for changed in [set(random.choice(80, random.integers(1, 4), replace=False).tolist())]
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [{tuple(words(t)[k : k + 5]) for k in range(76)} for t in texts]
+    least = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and least[a] != least[b]:
+                keep, gone = sorted((least[a], least[b]))
+                least = [keep if x == gone else x for x in least]
+    got = neardup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()
+    same(map(tuple, got), [(k, len(s), least[k]) for k, s in enumerate(sets)])
+    assert 1 < len(set(least)) < len(least)
