@@ -374,3 +374,17 @@ def test_near_duplicates_of_a_group_cut_into_blocks(spark, monkeypatch):
     got = neardup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()
     same(map(tuple, got), [(k, len(s), least[k]) for k, s in enumerate(sets)])
     assert 1 < len(set(least)) < len(least)
+
+
+def test_links_use_the_labels_after_later_levels(spark):
+    """x and y met under the labels 9 and 7; a later level has contracted 9 into 5."""
+    docs = spark.createDataFrame([(1, BASE), (2, BASE + " tail"), (3, "far from all of the others here")], "id long, text string")
+    stage = Stage(spark)
+    rows = stage.table(docs.mapInArrow(neardup._sketch(5), "id long, n long, cls binary, sketch array<int>"), "rows")
+    classes = rows.withColumn("first", F.col("id"))
+    sets = neardup._sets_of(docs, classes, classes.select("cls"), 5)
+    x, y, z = (bytes(r.cls) for r in rows.orderBy("id").collect())
+    near = spark.createDataFrame([(x, 9, 9), (y, 7, 9)], "cls binary, label long, root long")
+    labels = spark.createDataFrame([(x, 5), (y, 7), (z, 5)], "cls binary, label long")
+    got = {bytes(r.cls): r.label for r in neardup._exact(near, classes, sets, labels, stage).collect()}
+    assert got == {x: 5, y: 5, z: 5}

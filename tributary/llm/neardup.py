@@ -282,7 +282,9 @@ def _exact(near: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFra
     if roots.isEmpty():
         return labels
     clusters = components(roots, stage, "near-cc").select(F.col("v").alias("label"), F.col("label").alias("cluster"))
-    members = near.select("cls", "label").distinct().join(clusters, "label").join(classes.select("cls", "n", "sketch"), "cls")
+    # The labels of near are those of the level it comes from: they name clusters, links need the present ones.
+    members = near.select("cls", "label").join(clusters, "label").select("cls", "cluster").distinct()
+    members = members.join(labels, "cls").join(classes.select("cls", "n", "sketch"), "cls")
     members = stage.table(members, "near-members")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
     sizes = stage.table(members.groupBy("cluster").agg(blocks.alias("blocks")), "near-sizes")
