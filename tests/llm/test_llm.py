@@ -388,3 +388,28 @@ def test_links_use_the_labels_after_later_levels(spark):
     labels = spark.createDataFrame([(x, 5), (y, 7), (z, 5)], "cls binary, label long")
     got = {bytes(r.cls): r.label for r in neardup._exact(near, classes, sets, labels, stage).collect()}
     assert got == {x: 5, y: 5, z: 5}
+
+
+def missed_in_large_nodes(spark, similarity, pairs, children, column, trees):
+    """How many of the pairs share no node of the last level, all nodes that they share being large and open.
+
+    The first ``trees`` coordinates make the trees, ``column`` has those by which nodes branch."""
+    random, members = np.random.default_rng(3), []
+    n = neardup.COORDINATES + getattr(neardup, "FURTHER", 0)
+    for pair in range(pairs):
+        left = random.integers(0, 1 << 30, n)
+        right = np.where(random.random(n) < similarity, left, random.integers(0, 1 << 30, n))
+        for k, x in enumerate((left, right)):
+            by = x[neardup.COORDINATES :] if column == "path" else x[: neardup.COORDINATES]
+            members += [(hash((t, int(x[t]))), (2 * pair + k).to_bytes(4, "big"), by.tolist()) for t in range(trees)]
+    table = spark.createDataFrame(members, f"node long, cls binary, {column} array<int>").repartition(8).cache()
+    own, nodes = table.select("cls", column).dropDuplicates(["cls"]).cache(), table.select("node", "cls")
+    for level in range(1, neardup.LEVELS):
+        nodes = children(nodes.distinct().join(own, "cls"), level)
+    pair = F.floor(F.conv(F.hex("cls"), 16, 10).cast("int") / 2)
+    met = nodes.select("node", "cls", pair.alias("pair")).groupBy("node", "pair").agg(F.count_distinct("cls").alias("n")).where("n = 2")
+    return pairs - met.select("pair").distinct().count()
+
+
+def test_large_nodes_miss_no_pair_at_the_threshold(spark):
+    assert missed_in_large_nodes(spark, 0.75, 400, neardup._children, "path", neardup.TREES) == 0
