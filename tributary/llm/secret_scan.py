@@ -22,7 +22,8 @@ CANDIDATE = (
     rf"(?<![A-Za-z]){_NAMES}[\"']?[\x20\t]{{0,3}}[:=][\x20\t]{{0,3}}[\"']?[^\x20\x09-\x0D\"']{{6,}}+"
     r"|(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
 )
-_VALUE = r"(?:^.*?[:=][\x20\t]{0,3}[\"']?)?([^\x20\x09-\x0D\"']+)$"
+# The signs at the end of a base64 value are no name's.
+_VALUE = rf"(?:^(?:{_NAMES}[\"']?[\x20\t]*[:=]|.*?[:=](?!=*$))[\x20\t]{{0,3}}[\"']?)?([^\x20\x09-\x0D\"']+)$"
 _ASSIGNED = rf"^{_NAMES}[\"']?[\x20\t]*[:=]"
 #: Words before a candidate that speak for and against a secret, characters looked at.
 _FOR = r"(?i)(password|passwd|pwd|secret|token|api.?key|access.?key|auth|credential|private)"
@@ -84,15 +85,19 @@ def labelled_findings(docs: DataFrame, text_col: str = "text", sample: int = SAM
     caps = F.upper(F.translate(F.substring(F.sha2(F.concat("o", F.lit("caps")), 256), 1, 16), "0189", "WXYZ"))
     plain = F.regexp_replace(F.lower(F.concat(F.element_at("w", 1), F.element_at("w", 2), F.element_at("w", 3))), "[^a-z]", "")
     digits = F.regexp_replace(F.sha2(F.concat("o", F.lit("num")), 256), "[^0-9]", "")
+    # 16 bytes, with the two signs at the end.
+    padded = F.base64(F.unhex(F.substring(F.sha2(F.concat("o", F.lit("padded")), 256), 1, 32)))
     quote = F.lit('"')
     secrets = [
         F.concat(F.lit("AKIA"), caps), F.concat(F.lit("password="), F.substring(hex_, 1, 18)), F.concat(F.lit("token = "), quote, F.substring(hex_, 1, 40), quote),
         F.concat(F.lit("api_key: "), quote, b64, quote), F.concat(F.lit("secret="), F.substring(b64, 1, 24)), F.concat(F.lit("ghp_"), F.substring(b64, 1, 36)),
+        padded, F.concat(F.lit("Authorization: Basic "), padded),
     ]
     likes = [
         F.concat(F.lit("commit "), F.substring(hex_, 1, 40)), F.concat(F.lit("sha256 "), hex_), F.concat(F.lit("password="), plain), F.concat(F.lit("token: your-token-here-"), F.substring(digits, 1, 2)),
         F.concat(F.lit("https://example.com/page/"), F.substring(hex_, 1, 24)), F.substring(digits, 1, 16), F.concat(plain, F.lit("-"), plain, F.lit("-"), F.substring(digits, 1, 2)),
         F.concat_ws("-", F.lit("uuid"), F.substring(hex_, 1, 8), F.substring(hex_, 9, 4), F.substring(hex_, 13, 4), F.substring(hex_, 17, 12)),
+        F.concat(F.lit("md5 "), padded),
     ]
     kinds = [F.struct(c.alias("x"), F.lit(label).alias("label")) for label, group in ((1, secrets), (0, likes)) for c in group]
     rows = base.select("w", "o", F.posexplode(F.array(*kinds)).alias("kind", "y"))
