@@ -48,7 +48,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts masked, and ``n_chars`` of the text as it then is."""
-    model = secret_scan.train(secret_scan.labelled_findings(docs))
+    model = secret_scan.train(secret_scan.labelled_findings(docs), secret_scan.frequent_words(docs))
     masked = secret_scan.mask_secrets(docs, model)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
 

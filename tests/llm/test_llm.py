@@ -423,3 +423,19 @@ def test_padded_base64_without_a_name_is_a_secret(spark, docs):
     model = secret_scan.train(secret_scan.labelled_findings(docs))
     masked = {r.doc_id: r.text for r in secret_scan.mask_secrets(df, model).collect()}
     assert masked[0] == "Authorization: Basic [SECRET]" and masked[1] == "use [SECRET] here"
+
+
+def test_dictionary_of_frequent_words_and_words_after(spark, docs, rows):
+    frequent = secret_scan.frequent_words(docs)
+    counts = collections.Counter(m[1] for _, t in rows for w in words((t or "").lower()) if len(w) <= 40 and (m := re.fullmatch(r"[\W_]*?([^\W\d_]{4,20})[\W_]*", w)))
+    assert frequent == sorted((w for w in counts if counts[w] >= 5), key=lambda w: (-counts[w], w))[:2000]
+    three = [w for w in frequent if re.fullmatch("[a-z]+", w)][:3]
+    texts = [f"password={''.join(three)}", f"see {'_'.join(three)}_20240101 there", "x 0cc175b9c0f1b6a831c399e269772661 is the digest"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    covered = secret_scan._candidates(df, "text", frequent).select("doc_id", F.explode("candidates").alias("c")).select("doc_id", "c.*").collect()
+    covered = {r.doc_id: r for r in covered}
+    n = sum(map(len, three))
+    assert covered[0].covered == 1 and covered[1].covered == n / (n + 11) and covered[2].after_against == 1
+    model = secret_scan.train(secret_scan.labelled_findings(docs), frequent)
+    found = secret_scan.find_secrets(df, model).collect()
+    assert [x.value for r in found for x in r.secret_candidates if x.secret] == []

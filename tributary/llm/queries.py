@@ -55,7 +55,7 @@ def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
-    found = secret_scan.find_secrets(docs, secret_scan.train(secret_scan.labelled_findings(docs)))
+    found = secret_scan.find_secrets(docs, secret_scan.train(secret_scan.labelled_findings(docs), secret_scan.frequent_words(docs)))
     # The outer form keeps the optimizer from testing, and so making, the array twice.
     rows = found.select("doc_id", F.explode_outer("secret_candidates").alias("x")).where("x is not null")
     return rows.select("doc_id", "x.start", "x.stop", F.sha2("x.value", 256).alias("value_sha256"), "x.score", "x.secret")

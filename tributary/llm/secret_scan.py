@@ -1,19 +1,22 @@
 """Secrets in text: patterns propose candidates, a random forest removes false positives.
 
 The forest looks at the length of a candidate, the changes between its kinds of characters, how much
-of it a dictionary covers, whether it stands in a path, and the words before it. It is trained from
+of it a dictionary covers, whether it stands in a path, and the words before and after it. The dictionary
+has the frequent words of the corpus; a candidate is cut into the longest of them from left to right. It is trained from
 labelled findings and then written out as conditional expressions, so that texts are scanned row by
 row with built-in functions, without a join.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.arrays import settled, with_matches, words_of
+from tributary.llm.arrays import GAP, settled, with_matches, words_of
 from tributary.llm.tables import Stage
 
 #: A value given to a name that speaks of secrets, or a long run of the characters of keys.
@@ -25,7 +28,7 @@ CANDIDATE = (
 # The signs at the end of a base64 value are no name's.
 _VALUE = rf"(?:^(?:{_NAMES}[\"']?[\x20\t]*[:=]|.*?[:=](?!=*$))[\x20\t]{{0,3}}[\"']?)?([^\x20\x09-\x0D\"']+)$"
 _ASSIGNED = rf"^{_NAMES}[\"']?[\x20\t]*[:=]"
-#: Words before a candidate that speak for and against a secret, characters looked at.
+#: Words before and after a candidate that speak for and against a secret, characters looked at.
 _FOR = r"(?i)(password|passwd|pwd|secret|token|api.?key|access.?key|auth|credential|private)"
 _AGAINST = r"(?i)(commit|sha[0-9]*|md5|hash|digest|checksum|uuid|guid|revision|etag|build|order|invoice|page|card|phone)"
 NEARBY = 40
@@ -34,12 +37,42 @@ WORDS = (
     "change", "changeme", "default", "dummy", "example", "guest", "hello", "here", "insert", "name", "none", "null", "password",
     "placeholder", "please", "sample", "secret", "service", "string", "test", "token", "user", "value", "welcome", "your",
 )
-FEATURES = ("length", "changes", "digits", "upper", "distinct", "covered", "path", "assigned", "nearby_for", "nearby_against", "key_prefix")
+#: Frequent words taken at most, occurrences that they have at least.
+FREQUENT, OCCURRENCES = 2_000, 5
+FEATURES = ("length", "changes", "digits", "upper", "distinct", "covered", "path", "assigned", "nearby_for", "nearby_against", "after_for", "after_against", "key_prefix")
 #: Documents that labelled findings are derived from, trees and depth of the forest, its threshold.
 SAMPLE, TREES, DEPTH, SEED, THRESHOLD = 1500, 15, 5, 17, 0.5
 MASK = "[SECRET]"
 
 
+def frequent_words(docs: DataFrame, text_col: str = "text") -> list[str]:
+    """The words of 4 to 20 letters that occur most often, in lower case: at most ``FREQUENT``, each at least
+    ``OCCURRENCES`` times, ties by the word. Counted over all documents; only these words come to the driver."""
+    text = F.lower(F.col(f"`{text_col}`").cast("string"))
+    tokens = docs.select(F.explode(F.split(text, GAP, -1)).alias("w")).where(F.length("w").between(4, 40)).groupBy("w").count()
+    # Patterns only meet distinct tokens.
+    word = F.regexp_extract("w", r"^[^\p{L}\p{N}]*+(\p{L}{4,20})[^\p{L}\p{N}]*$", 1)
+    counted = tokens.select(word.alias("word"), "count").groupBy("word").agg(F.sum("count").alias("n"))
+    top = counted.where(f"word <> '' and n >= {OCCURRENCES}").orderBy(F.desc("n"), "word").limit(FREQUENT)
+    return [r.word for r in top.collect()]
+
+
+def _longest_of(words: list[str]) -> str:
+    """A pattern for the longest of the words that begins at a place, common beginnings once."""
+    tree: dict = {}
+    for word in words:
+        at = tree
+        for c in word:
+            at = at.setdefault(c, {})
+        at[""] = {}
+
+    def pattern(at: dict) -> str:
+        ways = "|".join(re.escape(c) + pattern(x) for c, x in sorted(at.items()) if c)
+        return ways and (f"(?:{ways})?" if "" in at else f"(?:{ways})")
+
+    return pattern(tree)
+
+
 def _candidates(docs: DataFrame, text: str, dictionary: list[str]) -> DataFrame:
     """Adds ``candidates``: array of (start, stop, value and the features) of the values found."""
     # Every candidate has a digit or is the value of a name.
@@ -52,13 +85,15 @@ def _candidates(docs: DataFrame, text: str, dictionary: list[str]) -> DataFrame:
         return F.struct(x["start"].alias("at"), start.alias("start"), (start + F.length(value)).alias("stop"), value.alias("value"), x["match"].alias("match"))
 
     df = df.withColumn("found", F.transform("found", described))
+    known_words = _longest_of([w for w in dictionary if w])
     df = df.withColumn("found", F.filter("found", lambda x: (F.length(x["value"]) >= 6) & (x["value"].rlike("[0-9]") | x["match"].rlike(_ASSIGNED))))
 
     def features(x: Column) -> Column:
         v, n = x["value"], F.length(x["value"])
         before = F.substring(F.col(text), F.greatest(F.lit(1), x["at"] + 1 - NEARBY), F.least(F.lit(NEARBY), x["at"]))
-        runs = F.filter(F.split(F.lower(v), "[^a-z]+", -1), lambda w: F.length(w) >= 3)
-        known = F.aggregate(F.array_intersect(runs, F.array(*map(F.lit, dictionary))), F.lit(0), lambda a, w: a + F.length(w))
+        after = F.substring(F.col(text), x["stop"] + 1, F.lit(NEARBY))
+        low = F.lower(v)
+        known = F.length(low) - F.length(F.regexp_replace(low, known_words, "")) if known_words else F.lit(0)
         changes = n - F.length(F.regexp_replace(v, r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])", "")) + F.size(
             F.split(v, r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])", -1)
         )
@@ -67,6 +102,7 @@ def _candidates(docs: DataFrame, text: str, dictionary: list[str]) -> DataFrame:
             "upper": F.length(F.regexp_replace(v, "[^A-Z]", "")) / n, "distinct": F.size(F.array_distinct(F.split(v, ""))) / n, "covered": known / n,
             "path": (before.rlike(r"[/\\@.]$") | v.rlike("/.*/|://|@")).cast("int"), "assigned": x["match"].rlike(_ASSIGNED).cast("int"),
             "nearby_for": before.rlike(_FOR).cast("int"), "nearby_against": before.rlike(_AGAINST).cast("int"),
+            "after_for": after.rlike(_FOR).cast("int"), "after_against": after.rlike(_AGAINST).cast("int"),
             "key_prefix": v.rlike("^(AKIA|ASIA|ghp_|gho_|xox[bp]-|sk_|rk_|AIza|glpat-)").cast("int"),
         }
         return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), v.alias("value"), *[c.cast("double").alias(k) for k, c in numbers.items()])
@@ -92,12 +128,14 @@ def labelled_findings(docs: DataFrame, text_col: str = "text", sample: int = SAM
         F.concat(F.lit("AKIA"), caps), F.concat(F.lit("password="), F.substring(hex_, 1, 18)), F.concat(F.lit("token = "), quote, F.substring(hex_, 1, 40), quote),
         F.concat(F.lit("api_key: "), quote, b64, quote), F.concat(F.lit("secret="), F.substring(b64, 1, 24)), F.concat(F.lit("ghp_"), F.substring(b64, 1, 36)),
         padded, F.concat(F.lit("Authorization: Basic "), padded),
+        F.concat(F.substring(hex_, 1, 32), F.lit(" is the token")),
     ]
     likes = [
         F.concat(F.lit("commit "), F.substring(hex_, 1, 40)), F.concat(F.lit("sha256 "), hex_), F.concat(F.lit("password="), plain), F.concat(F.lit("token: your-token-here-"), F.substring(digits, 1, 2)),
         F.concat(F.lit("https://example.com/page/"), F.substring(hex_, 1, 24)), F.substring(digits, 1, 16), F.concat(plain, F.lit("-"), plain, F.lit("-"), F.substring(digits, 1, 2)),
         F.concat_ws("-", F.lit("uuid"), F.substring(hex_, 1, 8), F.substring(hex_, 9, 4), F.substring(hex_, 13, 4), F.substring(hex_, 17, 12)),
-        F.concat(F.lit("md5 "), padded),
+        F.concat(F.lit("md5 "), padded), F.concat(padded, F.lit(" is the checksum")), F.concat(F.substring(hex_, 1, 32), F.lit(" is the digest")),
+        F.concat(plain, F.lit("_"), F.substring(digits, 1, 8)),
     ]
     kinds = [F.struct(c.alias("x"), F.lit(label).alias("label")) for label, group in ((1, secrets), (0, likes)) for c in group]
     rows = base.select("w", "o", F.posexplode(F.array(*kinds)).alias("kind", "y"))
