@@ -439,3 +439,17 @@ def test_dictionary_of_frequent_words_and_words_after(spark, docs, rows):
     model = secret_scan.train(secret_scan.labelled_findings(docs), frequent)
     found = secret_scan.find_secrets(df, model).collect()
     assert [x.value for r in found for x in r.secret_candidates if x.secret] == []
+
+
+def test_licenses_of_whole_texts_blocks_and_usual_notices(spark):
+    known = dict(licenses.all_known())
+    mit, gpl, bsd = licenses.KNOWN["MIT"], known["GPL-3.0"], known["BSD-3-Clause"]
+    texts = ["Some project\n\nMIT License\n\nCopyright (c) 2020 Someone\n\n" + mit + "\n\nAnd more.", gpl, "x\n\n" + known["Apache-2.0"], known["Unlicense"],
+             "a\nLicensed under the MIT License\n// SPDX-License-Identifier: GPL-2.0-or-later", "\n\n".join(mit.split("\n\n")[::-1]), mit.replace("\n\n", "\n\nother\n\n"), "/*\n" + bsd + "\n*/\n\nint main;"]
+    df = spark.createDataFrame([*enumerate(texts), (0, texts[0])], "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.find_licenses(df, licenses.known_licenses(spark)).collect()}
+    assert [found[k].license_id for k in range(8)] == [None, "GPL-3.0", None, "Unlicense", None, None, None, None]
+    assert [found[k].block_licenses.split(",") for k in (0, 2, 3, 5, 6, 7)] == [["MIT"], ["Apache-2.0"], ["Unlicense"], [""], [""], ["BSD-3-Clause"]]
+    assert "GPL-3.0" in found[1].block_licenses and found[4].line_licenses == "GPL-2.0-notice,MIT-notice" and found[0].copies == 2
+    whole = df.select(licenses.canonical(F.col("text")).alias("c"), F.array_join(licenses.blocks_of(F.col("text")), " ").alias("b"))
+    assert whole.where("c <> b").isEmpty()

@@ -2,11 +2,14 @@
 
 Normalisation takes out what may differ between copies of one licence: case, punctuation, list marks,
 copyright lines, white space and equivalent spellings. Entire texts are compared, by a hash join of
-digests: a document as a whole, and each of its lines.
+digests: a document as a whole, each of its lines, and each run of as many blocks (between lines without
+a letter or digit) as a known text has. Whole texts besides those below are files of ``license_texts``.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +49,43 @@ Permission is granted to anyone to use this software for any purpose, including
     "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
     "BSD-3-Clause-notice": "Released under the BSD 3-Clause License.",
 }
+#: Names that notices call a licence, by SPDX id (fixed values).
+NAMES = {
+    "MIT": ("MIT License", "MIT"), "ISC": ("ISC License", "ISC"), "Zlib": ("zlib License", "zlib"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "BSD-2-Clause"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "BSD-3-Clause"),
+    **{f"{k}-{v}": (f"{name}, version {v[: -2] if v.endswith('.0') else v}", f"{name} v{v}", f"{name} version {v}", f"{k}v{v[: -2] if v.endswith('.0') else v}", f"{k}-{v}")
+       for k, name, versions in (("GPL", "GNU General Public License", ("2.0", "3.0")), ("LGPL", "GNU Lesser General Public License", ("2.1", "3.0")),
+                                 ("AGPL", "GNU Affero General Public License", ("3.0",))) for v in versions},
+    "MPL-2.0": ("Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "Mozilla Public License, v. 2.0", "MPL 2.0", "MPL-2.0"),
+    "Unlicense": ("Unlicense",), "BSL-1.0": ("Boost Software License, Version 1.0", "BSL-1.0"), "CC0-1.0": ("CC0 1.0", "CC0 1.0 Universal", "CC0-1.0"),
+    **{f"CC-{k}-4.0": (f"CC {k} 4.0", f"CC-{k}-4.0", f"Creative Commons {name} 4.0 International License", f"Creative Commons {name} 4.0 International")
+       for k, name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"),
+                       ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))},
+}
+SENTENCES = tuple(
+    f"{start}{what} under {a}{{}}" for start in ("", "This work is ", "This project is ", "This software is ", "This code is ", "This file is ")
+    for what in ("licensed", "released", "distributed") for a in ("", "the ", "the terms of the ", "a ")
+)
+
+
+def all_known() -> list[tuple[str, str]]:
+    """(license_id, text) of all known licences: whole texts, also without what follows their terms, and notices."""
+    rows = list(KNOWN.items())
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        text, end = path.read_text(encoding="utf-8"), "END OF TERMS AND CONDITIONS"
+        rows.append((path.stem, text))
+        if end in text:
+            terms = text[: text.index(end)]
+            rows += [(path.stem, terms), (path.stem, terms + end)]
+        if path.stem.startswith("BSD"):
+            rows.append((path.stem, "All rights reserved.\n\n" + text))
+    for name, ids in NAMES.items():
+        rows += [(f"{name}-notice", sentence.format(x)) for x in ids for sentence in SENTENCES]
+        own = [name, f"{name}-only", f"{name}-or-later"] if "GPL" in name else [name]
+        rows += [(f"{name}-notice", f"SPDX-License-Identifier: {x}") for x in own]
+    return rows
 
 
 def canonical(text: Column) -> Column:
@@ -62,15 +102,20 @@ def canonical(text: Column) -> Column:
     return F.trim(F.when(known, spelt).otherwise(plain))
 
 
+def blocks_of(text: Column) -> Column:
+    """Canonical forms of the blocks between lines without a letter or digit, none of them empty; joined they are the canonical text."""
+    return F.filter(F.transform(F.split(text, r"\n[^\p{L}\p{N}]*\n", -1), canonical), lambda x: x != "")
+
+
 def known_licenses(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
     """(license_id, text)."""
-    return spark.createDataFrame(sorted((texts or KNOWN).items()), "license_id string, text string")
+    return spark.createDataFrame(sorted(texts.items() if texts else all_known()), "license_id string, text string")
 
 
 def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per distinct (id, text): id, ``copies``, ``digest`` of the whole text, ``license_id`` if that is
-    a known one, ``line_licenses`` (ids of licences that are whole lines, in order of name) and
-    ``n_license_lines``.
+    a known one, ``line_licenses`` (ids of licences that are whole lines, in order of name),
+    ``n_license_lines`` and ``block_licenses`` (ids of licences that are runs of whole blocks, in order of name).
 
     ``known`` has (license_id, text); of licences with one canonical form the first by name counts,
     those with an empty form are left out. Null and empty texts match nothing. Rows without an id
@@ -91,8 +136,25 @@ def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     units = units.select("id", "digest", F.posexplode_outer("units").alias("place", "line"))
     units = units.withColumn("unit", F.when(F.col("place") == 0, F.col("digest")).otherwise(F.sha2(canonical(F.col("line")), 256)))
     joined = units.select("id", "digest", "place", "unit").join(F.broadcast(digests) if n <= BROADCAST_ROWS else digests, "unit", "left")
+    joined = joined.select("id", "digest", "place", "license_id")
+    joined = joined.union(_in_blocks(source, known, stage, n <= BROADCAST_ROWS))
     line = F.when(F.col("place") > 0, F.col("license_id"))
     return joined.groupBy("id", "digest").agg(
         F.count_if(F.col("place") == 0).alias("copies"), F.max(F.when(F.col("place") == 0, F.col("license_id"))).alias("license_id"),
         F.array_join(F.sort_array(F.collect_set(line)), ",").alias("line_licenses"), F.count(line).alias("n_license_lines"),
+        F.array_join(F.sort_array(F.collect_set(F.when(F.col("place") < 0, F.col("license_id")))), ",").alias("block_licenses"),
     ).withColumnRenamed("id", id_col)
+
+
+def _in_blocks(source: DataFrame, known: DataFrame, stage: Stage, small: bool) -> DataFrame:
+    """(id, digest, place -1, license_id) of known texts whose blocks follow one another in a text (id, t)."""
+    texts = known.where("license_id is not null").select("license_id", blocks_of(F.col("text")).alias("b")).where("size(b) > 0")
+    texts = texts.groupBy("b").agg(F.min("license_id").alias("license_id")).select("license_id", "b", F.size("b").alias("n"), F.sha2(F.array_join("b", "\n"), 256).alias("name"))
+    parts = stage.table(texts.select("license_id", "n", "name", F.posexplode("b").alias("k", "c")).select("license_id", "n", "name", "k", F.sha2("c", 256).alias("unit")), "blocks")
+    digest, raw = F.sha2(F.array_join("b", " "), 256).alias("digest"), F.xxhash64("t").alias("raw")
+    units = source.select("id", raw, blocks_of(F.col("t")).alias("b")).select("id", "raw", digest, F.posexplode("b").alias("place", "c"))
+    units = units.select("id", "raw", "digest", "place", F.sha2("c", 256).alias("unit"))
+    hits = units.join(F.broadcast(parts) if small else parts, "unit").withColumn("start", F.col("place") - F.col("k"))
+    # Copies of one text have the same blocks, so blocks are counted once.
+    runs = hits.groupBy("id", "raw", "digest", "start", "name", "n", "license_id").agg(F.count_distinct("k").alias("found")).where("found = n")
+    return runs.select("id", "digest", F.lit(-1).alias("place"), "license_id")
