@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import decontaminate, licenses, neardup, packing, pii, quality, repeats, secret_scan, toxicity, warc
+from tributary.llm import decontaminate, licenses, neardup, packing, pii, quality, repeats, resample, runs, secret_scan, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,20 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.find_runs(runs.with_planted_runs(_read(spark, folder, "documents")))
+    start, length, period = (F.col(f"best.{c}") for c in ("start", "length", "period"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(runs.runs_text(), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resample(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
@@ -86,6 +100,8 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_importance_resampling": op12_importance_resampling,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -93,6 +109,13 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 _PLAIN = r"lower(regexp_replace(coalesce(text, ''), '[^\p{{L}}\p{{N}}\x20\x09-\x0D]+', '', 'g'))".format()
 
+# CRC-32 of the bytes of a text, bit by bit, for tables without that function.
+_CRC = (
+    "xor(list_reduce(list_transform(range(0, octet_length(encode({0}))), lambda k: CAST('0x' || substr(hex(encode({0})), 2 * k + 1, 2) AS BIGINT)), "
+    "lambda c, b: list_reduce(range(0, 8), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)), xor(c, b)), CAST(4294967295 AS BIGINT)), 4294967295)"
+)
+_FEATURES = r"list_filter(regexp_split_to_array({}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+
 SQL: dict[str, str] = {
     "op2_decontamination": f"""
 WITH b AS (SELECT item_id, {_WORDS.format(_PLAIN)} AS w FROM benchmark),
@@ -138,4 +161,36 @@ g AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
     sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(ps, []), i)), ' ')) AS kept_sha256
 FROM d LEFT JOIN g USING (doc_id)""",
+    "op11_periodic_runs": f"""
+WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w, {_CRC.format("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+c AS (SELECT *, len(w) AS n, len(w) > 0 AND h % 10 = 0 AS planted, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS q FROM d),
+b AS (SELECT *, 1 + (n - a) // q AS p FROM c),
+t AS (SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w FROM b),
+e AS (SELECT doc_id, n, unnest(w) AS x, unnest(range(0, n)) AS i FROM t),
+s AS (SELECT y.doc_id, y.i, z.i - y.i AS q FROM e y JOIN e z ON z.doc_id = y.doc_id AND z.x = y.x AND z.i > y.i AND 4 * (z.i - y.i) <= y.n),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM s),
+m AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM g GROUP BY doc_id, q, g HAVING count(*) + q >= greatest(6, 4 * q)),
+r AS (SELECT doc_id, s, l, min(q) AS q FROM m GROUP BY ALL),
+o AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS listed FROM r GROUP BY doc_id),
+f AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY l / q DESC, s, q) = 1),
+k AS (SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(s + q, s + l)) AS i FROM r) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, l AS length, q AS period, CAST(1000 * l // q AS BIGINT) AS exponent_milli,
+    sha256(coalesce(listed, '')) AS runs_sha256,
+    sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(gone, []), i - 1)), ' ')) AS collapsed_sha256
+FROM t LEFT JOIN o USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN k USING (doc_id)""",
+    "op12_importance_resampling": f"""
+WITH d AS (SELECT doc_id, {_FEATURES.format(_LOWER)} AS w FROM documents),
+dw AS (SELECT doc_id, unnest(w) AS x FROM d),
+bw AS (SELECT unnest({_FEATURES.format(_LOWER)}) AS x FROM benchmark),
+v AS MATERIALIZED (SELECT x, {_CRC.format("x")} % 10000 AS k FROM (SELECT x FROM dw UNION SELECT x FROM bw)),
+s AS (SELECT k, count(*) AS n FROM dw JOIN v USING (x) GROUP BY k),
+t AS (SELECT k, count(*) AS n FROM bw JOIN v USING (x) GROUP BY k),
+z AS (SELECT (SELECT coalesce(sum(n), 0) FROM s) AS s, (SELECT coalesce(sum(n), 0) FROM t) AS t),
+g AS (SELECT k, floor(1000 * ln(CAST((coalesce(t.n, 0) + 1) * (z.s + 10000) AS DOUBLE) / CAST((s.n + 1) * (z.t + 10000) AS DOUBLE))) AS gain FROM s LEFT JOIN t USING (k), z),
+m AS (SELECT doc_id, floor(sum(gain) / count(*)) AS weight FROM dw JOIN v USING (x) JOIN g USING (k) GROUP BY doc_id),
+h AS (SELECT doc_id, CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h FROM d),
+r AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM d JOIN h USING (doc_id) LEFT JOIN m USING (doc_id)),
+o AS (SELECT doc_id, CAST(row_number() OVER (ORDER BY score DESC, doc_id) AS BIGINT) AS place FROM r WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT 10 * count(*) // 100 FROM o) THEN place END AS rank FROM r LEFT JOIN o USING (doc_id)""",
 }
