@@ -17,6 +17,7 @@ from test_llm import ODD, SMALL, clashing, same, words
 from tributary.llm import resample, runs
 from tributary.llm.queries import QUERIES
 
+
 def brute_runs(w):
     found = {}
     for q in range(1, len(w) // 4 + 1):
@@ -30,24 +31,29 @@ def brute_runs(w):
             i = max(j, i + 1)
     return sorted((s, e - s, q) for (s, e), q in found.items())
 
+
 def brute_collapsed(w, found):
     gone = {p for s, n, q in found for p in range(s + q, s + n)}
     return " ".join(x for p, x in enumerate(w) if p not in gone)
 
+
 def brute_best(found):
     return min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
 
+
 def runs_of(w):
     ids = np.array([sorted(set(w)).index(x) for x in w], np.int64)
     out = [(a + s, n, q) for a, b in runs.segments(ids, np.zeros(len(w), np.int64)) for s, n, q in runs.scan(ids[a:b])]
     return sorted(out)
 
+
 @settings(max_examples=400, deadline=None)
 @given(st.lists(st.tuples(st.text("abc", min_size=1, max_size=5), st.integers(1, 9)), max_size=8), st.text("abcd", max_size=12))
 def test_runs_of_powers(blocks, tail):
     w = list("".join(block * times for block, times in blocks) + tail)
     assert runs_of(w) == brute_runs(w)
 
+
 def test_runs_of_long_texts_take_several_steps(monkeypatch):
     monkeypatch.setattr(runs, "STEP", 64)
     random = np.random.default_rng(4)
@@ -57,11 +63,13 @@ def test_runs_of_long_texts_take_several_steps(monkeypatch):
         assert runs_of(w) == brute_runs(w)
     assert runs_of(["a"] * 30_000) == [(0, 30_000, 1)]
 
+
 def test_frequency_splitting_recurses():
     """x is often enough in the whole, but not between the words that split first."""
     w = np.array([0, 0, 0, 0, 0, 0, 1, 9, 1, 0, 0, 1, 0, 0, 0, 0, 8, 1, 0, 0, 0, 0, 0, 0])
     assert runs.segments(w, np.zeros(len(w), np.int64)) == [(0, 6), (18, 24)]
 
+
 def test_find_runs(spark):
     period = " ".join(f"w{k}" for k in range(40))
     texts = [*ODD, period + (" " + period) * 5 + " w0 w1", "a a a a a", "a a a a a a", "a b " * 5 + "a", "x " + "p q r " * 4 + "y " + "p q r " * 5, "z " * 200_000]
@@ -76,6 +84,7 @@ def test_find_runs(spark):
     same([(r.doc_id, r.n_words, [tuple(x) for x in r.runs], r.best and tuple(r.best), r.collapsed) for r in got], expected)
     assert runs.find_runs(df.limit(0)).count() == 0
 
+
 def test_planted_runs_query(spark):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     expected = []
@@ -97,6 +106,7 @@ def test_planted_runs_query(spark):
     odd = spark.createDataFrame([(None, "a b c"), (20, None), (20, " ")], "doc_id long, text string")
     same([tuple(r) for r in runs.with_planted_runs(odd).collect()], [(None, "a b c"), (20, None), (20, " ")])
 
+
 def brute_resample(docs, target, percent, ngram, least):
     def features(text):
         w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
@@ -116,6 +126,7 @@ def brute_resample(docs, target, percent, ngram, least):
     can.sort(key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[2], r[1]))
     return [(*r, None) for r in rows] + [(*r, k + 1 if k < percent * len(can) // 100 else None) for k, r in enumerate(can)]
 
+
 def test_resample(spark, monkeypatch):
     monkeypatch.setattr(resample, "RANGES", (7, 9))
     monkeypatch.setattr(resample, "RUN", 50)
@@ -133,12 +144,14 @@ def test_resample(spark, monkeypatch):
         got = resample.resample(df, target, percent=percent, ngram=ngram, least=least).collect()
         same([tuple(r) for r in got], brute_resample(rows, items, percent, ngram, least))
 
+
 def test_resample_of_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     some = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert resample.resample(none, some).count() == resample.resample(none, none).count() == 0
     same([tuple(r) for r in resample.resample(some, none).collect()], brute_resample([(1, "a b"), (2, None)], [], 10, 1, 20))
 
+
 def test_ranges_are_even(spark):
     """Regular samples of runs of unlike length bound every range."""
     df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.expr("concat_ws(' ', transform(sequence(1, 25), k -> concat('w', (id * k) % 97)))").alias("text")).repartition(4)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import decontaminate, licenses, neardup, packing, pii, quality, repeats, resample, runs, secret_scan, toxicity, warc
+from tributary.llm import decontaminate, licenses, neardup, packing, pii, quality, repeats, resample, runs, secret_scan, suffixes, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +89,10 @@ def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resample.resample(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
 
 
+def op13_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeated_bytes(_read(spark, folder, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
@@ -102,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_suffix_array_dedup": op13_suffix_array_dedup,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -193,4 +198,18 @@ r AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight,
     CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM d JOIN h USING (doc_id) LEFT JOIN m USING (doc_id)),
 o AS (SELECT doc_id, CAST(row_number() OVER (ORDER BY score DESC, doc_id) AS BIGINT) AS place FROM r WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT 10 * count(*) // 100 FROM o) THEN place END AS rank FROM r LEFT JOIN o USING (doc_id)""",
+    "op13_suffix_array_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+c AS (SELECT doc_id, n, c, substr(x, 2 * c + 1, 798) AS x FROM (SELECT doc_id, x, n, unnest(range(0, n - 199, 200)) AS c FROM d WHERE n >= 200)),
+w AS (SELECT doc_id, c + j AS i, md5(substr(x, 2 * j + 1, 400)) AS k FROM (SELECT *, unnest(range(0, least(200, n - 199 - c))) AS j FROM c)),
+o AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+r AS (SELECT doc_id, i, i - lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) > 200 AS new FROM w JOIN o USING (k)),
+g AS (SELECT doc_id, i, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM r),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM g GROUP BY doc_id, g),
+p AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM s),
+f AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, CAST(count(*) AS BIGINT) AS n_spans, max(b) AS last,
+    string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN f USING (doc_id)""",
 }
