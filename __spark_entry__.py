@@ -7,7 +7,6 @@ order is not fixed), and times without a zone.
 from __future__ import annotations
 
 import sys
-from importlib.util import find_spec
 from collections.abc import Callable
 from datetime import date
 from functools import partial, reduce
@@ -33,17 +32,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The training-data operators are an optional part: without their package the rest works alone.
 LLM_QUERIES: dict[str, Query] = {}
 LLM_SQL: dict[str, str] = {}
-if find_spec("tributary.llm"):
+try:
     from tributary.llm.queries import QUERIES, SQL
 
     LLM_QUERIES |= QUERIES
     LLM_SQL |= SQL
-if LLM_QUERIES and find_spec("corpus_pipeline"):
     import corpus_pipeline
 
     LLM_QUERIES["pipeline"] = corpus_pipeline.run
     if corpus_pipeline.ORACLE_SQL is not None:
         LLM_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+except ImportError as missing:
+    print(f"without training-data queries: {missing}", file=sys.stderr)
 
 AS_OF = date(2026, 1, 1)
 # Decimal places at which sums and averages of double balances are compared.
