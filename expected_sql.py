@@ -161,14 +161,6 @@ def _raw_table(entity: str, columns: list[str]) -> str:
     return _with(EVENTS, f"SELECT {nulls}, body AS raw_data FROM landed WHERE target = '{entity}'")
 
 
-def _amounts(key: str, suffix: str) -> str:
-    return _with(
-        TRANSACTIONS,
-        f"""SELECT {key}, sum(Amount) AS total_amount{suffix}, avg(Amount) AS avg_amount{suffix},
-          count(*) AS num_transactions{suffix} FROM trimmed GROUP BY {key}""",
-    )
-
-
 STATUS_LOOKUP = """(VALUES ('active', 'Account is active and usable'),
   ('inactive', 'Account exists but disabled'), ('blocked', 'Account is restricted/flagged'))
   AS lookup(status, status_meaning)"""
@@ -185,10 +177,19 @@ SELECT Customer_ID, Full_Name, Email, City, Country, Phone AS Phone_Number,
   'core_banking_system' AS source_system
 FROM latest"""
 
+def _exact_sum(value: str) -> str:
+    """Sum of doubles that are whole multiples of 2**-60, in any order, then one rounding of its two halves."""
+    total = f"sum(CAST({value} * 1152921504606846976.0 AS HUGEINT))"
+    unit = "CAST(1152921504606846976 AS HUGEINT)"
+    return (
+        f"sign({total}) * (CAST(abs({total}) // {unit} AS DOUBLE) + CAST(abs({total}) % {unit} AS DOUBLE) / 1152921504606846976.0)"
+    )
+
+
 TOTALS = {
-    "currency_balance": "SELECT currency, round(sum(balance), 2) AS total_balance FROM accounts GROUP BY currency",
+    "currency_balance": f"SELECT currency, {_exact_sum('balance')} AS total_balance FROM accounts GROUP BY currency",
     "status_counts": "SELECT status, count(*) AS total_accounts FROM accounts GROUP BY status",
-    "avg_balance_type": "SELECT account_type, round(avg(balance), 6) AS average_balance FROM accounts GROUP BY account_type",
+    "avg_balance_type": f"SELECT account_type, {_exact_sum('balance')} / count(balance) AS average_balance FROM accounts GROUP BY account_type",
     "daily_openings": "SELECT CAST(created_at AS DATE) AS date, count(*) AS accounts_created FROM accounts GROUP BY 1",
 }
 
@@ -218,23 +219,125 @@ FROM trimmed t
 LEFT JOIN accounts_enriched a ON t.Account_ID = a.account_id
 LEFT JOIN latest c ON a.customer_id = c.Customer_ID"""
 
-# Rows of each of the sixteen gold tables after a full refresh.
+DIM_ACCOUNT = "SELECT account_id, customer_id, account_type, currency, created_at, status, risk_level FROM accounts_enriched"
+DIM_BRANCH = "SELECT branch_id, branch_name, address, city, country_region, opened_on_clean FROM branches_clean"
+DIM_TRANSACTION = "SELECT Transaction_ID, Account_ID, Transaction_Type, Currency, Description, transaction_ts FROM trimmed"
+
+
+def _by(key: str, suffix: str) -> str:
+    return f"""SELECT {key}, sum(Amount) AS total_amount{suffix}, avg(Amount) AS avg_amount{suffix},
+          count(*) AS num_transactions{suffix} FROM trimmed GROUP BY {key}"""
+
+
+# The sixteen gold tables after a full refresh, and their columns, those of doubles marked.
 REFRESH = {
-    "dim_customer": "latest",
-    "dim_account": "accounts",
-    "dim_branch": "branches",
-    "dim_transaction": "transactions",
-    "dim_account_transaction_type": f"({TRIPLES})",
-    **{name: f"({sql})" for name, sql in TOTALS.items()},
-    "fact_account_metrics": f"({METRICS})",
-    "fact_branch_country": f"({COUNTRY})",
-    "fact_branch_city": f"({CITY})",
-    "fact_transaction_account": "(SELECT DISTINCT Account_ID FROM trimmed)",
-    "fact_transaction_type": "(SELECT DISTINCT Transaction_Type FROM trimmed)",
-    "fact_transaction_currency": "(SELECT DISTINCT Currency FROM trimmed)",
-    "fact_transaction_daily": f"({DAILY})",
+    "dim_customer": (
+        DIM_CUSTOMER,
+        "Address_Line1 Address_Line2 City Country Customer_ID Email Full_Name is_active Phone_Number Postal_Code "
+        "record_created_date source_system State",
+    ),
+    "dim_account": (DIM_ACCOUNT, "account_id account_type created_at currency customer_id risk_level status"),
+    "dim_branch": (DIM_BRANCH, "address branch_id branch_name city country_region opened_on_clean"),
+    "dim_transaction": (DIM_TRANSACTION, "Account_ID Currency Description Transaction_ID transaction_ts Transaction_Type"),
+    "dim_account_transaction_type": (TRIPLES, "Account_ID Currency Transaction_Type"),
+    "currency_balance": (TOTALS["currency_balance"], "currency total_balance:double"),
+    "status_counts": (TOTALS["status_counts"], "status total_accounts"),
+    "avg_balance_type": (TOTALS["avg_balance_type"], "account_type average_balance:double"),
+    "daily_openings": (TOTALS["daily_openings"], "accounts_created date"),
+    "fact_account_metrics": (
+        METRICS,
+        "account_type accounts_created average_balance:double currency date status total_accounts total_balance:double",
+    ),
+    "fact_branch_country": (COUNTRY, "avg_branch_age_days:double country_region total_branches"),
+    "fact_branch_city": (CITY, "branches_in_city city"),
+    "fact_transaction_account": (_by("Account_ID", ""), "Account_ID avg_amount:double num_transactions total_amount:double"),
+    "fact_transaction_type": (
+        _by("Transaction_Type", "_by_type"),
+        "avg_amount_by_type:double num_transactions_by_type total_amount_by_type:double Transaction_Type",
+    ),
+    "fact_transaction_currency": (
+        _by("Currency", "_by_currency"),
+        "avg_amount_by_currency:double Currency num_transactions_by_currency total_amount_by_currency:double",
+    ),
+    "fact_transaction_daily": (DAILY, "total_amount_per_day:double transaction_date transactions_per_day"),
 }
 
+
+def _contents(name: str) -> str:
+    """Rows of a table and the sum of a part of the MD5 of each."""
+    select, columns = REFRESH[name]
+    kinds = [c.partition(":") for c in columns.split()]
+    texts = [f"CAST({c} AS DECIMAL(38,3))" if kind else c for c, _, kind in kinds]
+    row = "md5(concat_ws('|', " + ", ".join(f"coalesce(CAST({t} AS VARCHAR), '~')" for t in texts) + "))"
+    number = f"CAST('0x' || substr({row}, 1, 12) AS BIGINT)"
+    return (
+        f"SELECT '{name}' AS gold_table, count(*) AS table_rows, CAST(sum({number}) % 1000000000000000000 AS BIGINT) AS contents "
+        f"FROM ({select})"
+    )
+
+
+# Second versions of every twentieth transaction; every other one of them has no date, and loses.
+UPDATES = TRANSACTIONS.replace(
+    "FROM (SELECT o_orderkey AS n, * FROM orders)",
+    """FROM (
+    SELECT n, o_custkey, o_totalprice + 5 * version AS o_totalprice, o_orderdate + to_days(version) AS o_orderdate,
+      CASE WHEN version = 1 THEN '0-UPDATED' ELSE o_orderpriority END AS o_orderpriority, version
+    FROM (SELECT o_orderkey AS n, *, unnest(CASE WHEN o_orderkey % 20 = 0 THEN [0, 1] ELSE [0] END) AS version FROM orders)
+  )""",
+).replace("WHEN n % 79 <> 0 THEN date_trunc", "WHEN n % 79 <> 0 AND NOT (version = 1 AND n % 40 = 0) THEN date_trunc").replace(
+    "WHERE n % 61 <> 0 AND n % 67 <> 0",
+    """WHERE n % 61 <> 0 AND n % 67 <> 0
+  QUALIFY row_number() OVER (
+    PARTITION BY n ORDER BY Transaction_Date DESC NULLS LAST, Amount DESC NULLS LAST, Currency DESC, Description DESC
+  ) = 1""",
+)
+
+
+def _stack(parts: dict[str, tuple[str, dict[str, str]]], columns: dict[str, str]) -> str:
+    """Tables one above the other: a FROM clause and the columns that a table has."""
+    rows = [
+        f"SELECT '{name}' AS gold_table, " + ", ".join(f"CAST({own.get(c, 'NULL')} AS {kind}) AS {c}" for c, kind in columns.items()) + f" FROM {source}"
+        for name, (source, own) in parts.items()
+    ]
+    return "\nUNION ALL ".join(rows)
+
+
+_MEASURES = {"total_amount": "sum(Amount)", "avg_amount": "avg(Amount)", "num_transactions": "count(*)"}
+_KEYS = {"Account_ID": "VARCHAR", "Transaction_Type": "VARCHAR", "Currency": "VARCHAR", "transaction_date": "DATE"}
+TRANSACTION_TABLES = _stack(
+    {
+        "dim_account_transaction_type": (f"({TRIPLES})", {c: c for c in ("Account_ID", "Transaction_Type", "Currency")}),
+        "fact_transaction_account": ("trimmed GROUP BY Account_ID", {"Account_ID": "Account_ID", **_MEASURES}),
+        "fact_transaction_type": ("trimmed GROUP BY Transaction_Type", {"Transaction_Type": "Transaction_Type", **_MEASURES}),
+        "fact_transaction_currency": ("trimmed GROUP BY Currency", {"Currency": "Currency", **_MEASURES}),
+        "fact_transaction_daily": (
+            "trimmed GROUP BY CAST(transaction_ts AS DATE)",
+            {"transaction_date": "CAST(transaction_ts AS DATE)", "total_amount": "sum(Amount)", "num_transactions": "count(*)"},
+        ),
+    },
+    {**_KEYS, **{m: "DOUBLE" for m in _MEASURES}},
+)
+ACCOUNT_TABLES = _stack(
+    {
+        "currency_balance": (f"({TOTALS['currency_balance']})", {"currency": "currency", "total_balance": "total_balance"}),
+        "status_counts": (f"({TOTALS['status_counts']})", {"status": "status", "accounts": "total_accounts"}),
+        "avg_balance_type": (f"({TOTALS['avg_balance_type']})", {"account_type": "account_type", "average_balance": "average_balance"}),
+        "daily_openings": (f"({TOTALS['daily_openings']})", {"date": "date", "accounts": "accounts_created"}),
+    },
+    {
+        "currency": "VARCHAR", "status": "VARCHAR", "account_type": "VARCHAR", "date": "DATE",
+        "total_balance": "DOUBLE", "average_balance": "DOUBLE", "accounts": "DOUBLE",
+    },
+)
+BRANCH_TABLES = _stack(
+    {
+        "fact_branch_country": (f"({COUNTRY})", {c: c for c in ("country_region", "total_branches", "avg_branch_age_days")}),
+        "fact_branch_city": (f"({CITY})", {"city": "city", "total_branches": "branches_in_city"}),
+    },
+    {"country_region": "VARCHAR", "city": "VARCHAR", "total_branches": "DOUBLE", "avg_branch_age_days": "DOUBLE"},
+)
+
+
 EXPECTED = {
     # silver
     "silver_customers": _with(CUSTOMERS, "SELECT * FROM customers"),
@@ -250,18 +353,9 @@ EXPECTED = {
     # gold dimensions
     "customer_latest": _with(CUSTOMERS, "SELECT * FROM latest"),
     "dim_customer": _with(CUSTOMERS, DIM_CUSTOMER),
-    "dim_account": _with(
-        ACCOUNTS,
-        "SELECT account_id, customer_id, account_type, currency, created_at, status, risk_level FROM accounts_enriched",
-    ),
-    "dim_branch": _with(
-        BRANCHES,
-        "SELECT branch_id, branch_name, address, city, country_region, opened_on_clean FROM branches_clean",
-    ),
-    "dim_transaction": _with(
-        TRANSACTIONS,
-        "SELECT Transaction_ID, Account_ID, Transaction_Type, Currency, Description, transaction_ts FROM trimmed",
-    ),
+    "dim_account": _with(ACCOUNTS, DIM_ACCOUNT),
+    "dim_branch": _with(BRANCHES, DIM_BRANCH),
+    "dim_transaction": _with(TRANSACTIONS, DIM_TRANSACTION),
     "dim_account_transaction_type": _with(TRANSACTIONS, TRIPLES),
     "account_enriched": _with(ACCOUNTS, "SELECT * FROM accounts_enriched"),
     "account_status_lookup": _with(
@@ -273,26 +367,11 @@ EXPECTED = {
     "fact_account_metrics": _with(ACCOUNTS, METRICS),
     "fact_branch_country": _with(BRANCHES, COUNTRY),
     "fact_branch_city": _with(BRANCHES, CITY),
-    "fact_transaction_account": _amounts("Account_ID", ""),
-    "fact_transaction_type": _amounts("Transaction_Type", "_by_type"),
-    "fact_transaction_currency": _amounts("Currency", "_by_currency"),
+    "fact_transaction_account": _with(TRANSACTIONS, _by("Account_ID", "")),
+    "fact_transaction_type": _with(TRANSACTIONS, _by("Transaction_Type", "_by_type")),
+    "fact_transaction_currency": _with(TRANSACTIONS, _by("Currency", "_by_currency")),
     "fact_transaction_daily": _with(TRANSACTIONS, DAILY),
-    "transaction_tables": _with(
-        TRANSACTIONS,
-        """
-        SELECT 'dim_account_transaction_type' AS gold_table, Account_ID AS table_key,
-          CAST(NULL AS DOUBLE) AS total_amount, CAST(NULL AS BIGINT) AS num_transactions
-        FROM (SELECT DISTINCT Account_ID, Transaction_Type, Currency FROM trimmed)
-        UNION ALL SELECT 'fact_transaction_account', Account_ID, sum(Amount), count(*)
-          FROM trimmed GROUP BY 2
-        UNION ALL SELECT 'fact_transaction_type', Transaction_Type, sum(Amount), count(*)
-          FROM trimmed GROUP BY 2
-        UNION ALL SELECT 'fact_transaction_currency', Currency, sum(Amount), count(*)
-          FROM trimmed GROUP BY 2
-        UNION ALL SELECT 'fact_transaction_daily',
-          CAST(CAST(transaction_ts AS DATE) AS VARCHAR), sum(Amount), count(*)
-          FROM trimmed GROUP BY 2""",
-    ),
+    "transaction_tables": _with(TRANSACTIONS, TRANSACTION_TABLES),
     "star_transactions": _with(f"{ACCOUNTS.strip()},{TRANSACTIONS},{CUSTOMERS}", STAR),
     "preview_transactions": _with(
         TRANSACTIONS,
@@ -353,13 +432,26 @@ EXPECTED = {
     ),
     # whole refresh
     "run_all": _with(
-        f"{ACCOUNTS.strip()},{TRANSACTIONS},{BRANCHES},{CUSTOMERS}",
-        "\nUNION ALL ".join(
-            f"SELECT '{name}' AS gold_table, count(*) AS table_rows FROM {relation}"
-            for name, relation in REFRESH.items()
-        ),
+        f"{ACCOUNTS.strip()},{TRANSACTIONS},{BRANCHES},{CUSTOMERS}", "\nUNION ALL ".join(map(_contents, REFRESH))
+    ),
+    "run_all_dedup": _with(
+        f"{ACCOUNTS.strip()},{UPDATES},{BRANCHES},{CUSTOMERS}", "\nUNION ALL ".join(map(_contents, REFRESH))
     ),
+    "silver_transactions_updates": _with(UPDATES, "SELECT * FROM transactions"),
+    # streams that keep tables current
+    "customer_latest_stream": _with(CUSTOMERS, "SELECT * FROM latest"),
+    "account_latest_stream": _with(ACCOUNTS, "SELECT * FROM accounts"),
+    "maintained_account_facts": _with(ACCOUNTS, ACCOUNT_TABLES),
+    "maintained_transaction_facts": _with(UPDATES, TRANSACTION_TABLES),
+    "maintained_branch_facts": _with(BRANCHES, BRANCH_TABLES),
 }
 
+# Landing tables one above the other: columns that a table lacks are NULL there.
+LANDED = " UNION ALL BY NAME ".join(
+    f"SELECT '{table}' AS target, * FROM ({EXPECTED[f'ingest_{table}']})" for table in ("customers", "accounts", "transactions", "branches")
+)
 # Bronze is a copy of the landing tables.
-EXPECTED["bronze_copy"] = EXPECTED["ingest_transactions"]
+EXPECTED["bronze_copy"] = LANDED
+EXPECTED["stream_landing_rows"] = f"{LANDED} UNION ALL BY NAME SELECT 'rejects' AS target, * FROM ({EXPECTED['ingest_rejects']})"
+# What was sent again lands once.
+EXPECTED["stream_dedup"] = EXPECTED["stream_landing_rows"]

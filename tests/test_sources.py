@@ -72,7 +72,7 @@ def test_jdbc_reads_by_predicates():
     assert calls == [
         (
             ("jdbc:x", "accounts"),
-            {"predicates": ["a = 0", "a = 1"], "properties": {"user": "u"}},
+            {"predicates": ["a = 0", "a = 1"], "properties": {"fetchsize": "10000", "queryTimeout": "7200", "user": "u"}},
         )
     ]
 

@@ -7,6 +7,7 @@ from tributary.functions.accounts import (
     risk_level,
     usd_value,
 )
+from tributary.functions.exact import PARTS, exact_parts, exact_sum, exact_total
 from tributary.functions.text import (
     address_line,
     country_or_unknown,
@@ -29,6 +30,7 @@ from tributary.functions.values import (
 
 __all__ = [
     "FX_TO_USD",
+    "PARTS",
     "STATUS_MEANINGS",
     "active_flag",
     "address_line",
@@ -36,6 +38,9 @@ __all__ = [
     "country_or_unknown",
     "dashes_for_commas",
     "digits_only",
+    "exact_parts",
+    "exact_sum",
+    "exact_total",
     "full_name",
     "looks_like_json_object",
     "not_blank",

@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 _RANK = "_rank"
 
 
+def newest_order(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = ()) -> list[str]:
+    """Columns by which rows of a key are compared: ``newest_by``, then all others but the keys."""
+    taken = {name.lower() for name in [*keys, *newest_by]}
+    return [*newest_by, *(name for name in df.columns if name.lower() not in taken)]
+
+
 def keep_latest(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = ()) -> DataFrame:
     """Keep one row per ``keys``; all rows with a NULL key form one group.
 
@@ -21,10 +27,7 @@ def keep_latest(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = (
     sends at most one row per key, so a key that holds a third of the table is cut down before it
     travels.
     """
-    first = [*keys, *newest_by]
-    taken = {name.lower() for name in first}
-    order = [*newest_by, *(name for name in df.columns if name.lower() not in taken)]
-    newest_first = [F.col(name).desc_nulls_last() for name in order]
+    newest_first = [F.col(name).desc_nulls_last() for name in newest_order(df, keys, newest_by)]
     if not newest_first:  # nothing but the key: plain distinct
         return df.dropDuplicates(list(keys))
     window = Window.partitionBy(*keys).orderBy(*newest_first)

@@ -17,6 +17,15 @@ from tributary.operators import keep_latest, parse_json_text
 from tributary.schemas import ACCOUNT_BODY, BRANCH_BODY, RAW
 
 
+# What identifies an entity, and by what its newest row is told.
+NEWEST = {
+    "customers": (["Customer_ID"], ["Created_At"]),
+    "accounts": (["account_id"], ["created_at"]),
+    "transactions": (["Transaction_ID"], ["Transaction_Date"]),
+    "branches": (["branch_id"], []),
+}
+
+
 def silver_customers(bronze: DataFrame, dedup: bool = False) -> DataFrame:
     """P1, F1, P9, F2, P2, F3; with ``dedup`` the newest row per customer."""
     rows = bronze.filter(F.col("CustomerID").isNotNull()).select(
@@ -29,7 +38,7 @@ def silver_customers(bronze: DataFrame, dedup: bool = False) -> DataFrame:
         "Country",
         parse_timestamp(F.col("CreatedAt")).alias("Created_At"),
     )
-    return keep_latest(rows, ["Customer_ID"], ["Created_At"]) if dedup else rows
+    return keep_latest(rows, *NEWEST["customers"]) if dedup else rows
 
 
 def silver_transactions(bronze: DataFrame, dedup: bool = False) -> DataFrame:
@@ -45,26 +54,33 @@ def silver_transactions(bronze: DataFrame, dedup: bool = False) -> DataFrame:
         parse_timestamp(F.col("transaction_date")).alias("Transaction_Date"),
         F.col("description").alias("Description"),
     )
-    return keep_latest(rows, ["Transaction_ID"], ["Transaction_Date"]) if dedup else rows
+    return keep_latest(rows, *NEWEST["transactions"]) if dedup else rows
 
 
-def silver_accounts(bronze: DataFrame) -> DataFrame:
-    """P4, P6, P11, D1, F3.
+def account_versions(bronze: DataFrame) -> DataFrame:
+    """Every version of every account, batch or stream.
 
     Times are parsed before the newest row is picked, so they compare as times and not as text.
     """
     parsed = parse_json_text(bronze, RAW, ACCOUNT_BODY)
     identified = parsed.dropna(how="all", subset=["account_id", "customer_id"])
-    timed = identified.withColumn("created_at", parse_timestamp(F.col("created_at")))
-    return keep_latest(timed, ["account_id"], ["created_at"])
+    return identified.withColumn("created_at", parse_timestamp(F.col("created_at")))
+
+
+def silver_accounts(bronze: DataFrame) -> DataFrame:
+    """P4, P6, P11, D1, F3."""
+    return keep_latest(account_versions(bronze), *NEWEST["accounts"])
+
+
+def branch_versions(bronze: DataFrame) -> DataFrame:
+    """Every version of every branch, batch or stream, the address as sent."""
+    return parse_json_text(bronze, RAW, BRANCH_BODY).dropna(subset=["branch_id"])
 
 
 def silver_branches(bronze: DataFrame) -> DataFrame:
     """P5, P6, P12, D2, F7. A branch has no version time; the greatest row wins."""
-    identified = parse_json_text(bronze, RAW, BRANCH_BODY).dropna(subset=["branch_id"])
-    return keep_latest(identified, ["branch_id"]).withColumn(
-        "address", dashes_for_commas(F.col("address"))
-    )
+    latest = keep_latest(branch_versions(bronze), *NEWEST["branches"])
+    return latest.withColumn("address", dashes_for_commas(F.col("address")))
 
 
 def account_json_flag(bronze: DataFrame) -> DataFrame:
@@ -72,6 +88,14 @@ def account_json_flag(bronze: DataFrame) -> DataFrame:
     return bronze.select(RAW, looks_like_json_object(F.col(RAW)).alias("is_json"))
 
 
+# Versions of silver rows, none left out: what a stream of changes is made from.
+VERSIONS = {
+    "customers": silver_customers,
+    "accounts": account_versions,
+    "transactions": silver_transactions,
+    "branches": branch_versions,
+}
+
 SILVER_TABLES = {
     "customers": silver_customers,
     "accounts": silver_accounts,

@@ -48,11 +48,11 @@ TOPICS = {
     "branches-topic": "branches",
 }
 
-# Topics whose bodies are parsed at ingest; the bodies of the other two stay raw until silver.
+# Topics whose bodies are parsed at ingest; the bodies of the other two stay raw until silver.
 PARSED_TABLES = ("customers", "transactions")
 REJECTS = "rejects"
 
-# JSON bodies parsed on the way to silver.
+# JSON bodies parsed on the way to silver.
 ACCOUNT_BODY = StructType(
     [
         StructField("account_id", StringType(), True),
@@ -66,6 +66,7 @@ ACCOUNT_BODY = StructType(
 )
 BRANCH_BODY = _text("branch_id", "branch_name", "address", "city", "country", "opened_on")
 
+# The columns of the silver tables.
 SILVER = {
     "customers": StructType(
         [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,22 +23,32 @@ def hash_predicates(bucket_expression: str, buckets: int) -> list[str]:
 
 
 def jdbc_reader(
-    spark: SparkSession, url: str, predicates: list[str], properties: Mapping[str, str]
+    spark: SparkSession,
+    url: str,
+    predicates: list[str],
+    properties: Mapping[str, str],
+    fetch_size: int = 10_000,
+    query_timeout: int = 7_200,
 ) -> Callable[[str], DataFrame]:
     """A function from table name to DataFrame, read in parallel by ``predicates``.
 
+    ``fetch_size`` rows come with each round trip; a statement ends after ``query_timeout`` seconds.
+
     All columns of the landing tables are text, so there is no numeric bound to split on, and one
     connection would pull the whole table through a single task.
     """
-    return lambda table: spark.read.jdbc(
-        url, table, predicates=predicates, properties=dict(properties)
-    )
+    options = {"fetchsize": str(fetch_size), "queryTimeout": str(query_timeout), **properties}
+    return lambda table: spark.read.jdbc(url, table, predicates=predicates, properties=options)
 
 
 def copy_tables(
     read: Callable[[str], DataFrame], bronze: str, tables: Iterable[str] = tuple(BRONZE)
 ) -> None:
-    """Replace each bronze folder by a full copy of the table of the same name."""
-    for table in tables:
+    """Replace each bronze folder by a full copy of the table of the same name, side by side."""
+
+    def copy(table: str) -> None:
         columns = [F.col(f.name).cast("string").alias(f.name) for f in BRONZE[table].fields]
         write_table(read(table).select(columns), bronze, table)
+
+    with ThreadPoolExecutor(len(BRONZE)) as pool:
+        list(pool.map(copy, tables))

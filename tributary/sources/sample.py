@@ -93,11 +93,27 @@ def bronze_accounts(spark: SparkSession, folder: str) -> DataFrame:
     return _raw_only(rows.select(raw.alias(RAW)), "accounts")
 
 
-def bronze_transactions(spark: SparkSession, folder: str, copies: bool = False) -> DataFrame:
+def bronze_transactions(
+    spark: SparkSession, folder: str, copies: bool = False, updates: bool = False
+) -> DataFrame:
+    """``copies``: exact second rows; ``updates``: second rows with another amount and type a day later, every
+    other one with a bad date, so that the older row wins."""
     n = F.col("n")
     rows = _source(spark, folder, "orders").withColumn("n", F.col("o_orderkey"))
-    if copies:
+    if copies or updates:
         rows = rows.withColumn("version", _versions(n % 20 == 0))
+    if updates:
+        version = F.col("version")
+        rows = rows.withColumns(
+            {
+                "o_totalprice": F.col("o_totalprice") + 5 * version,
+                "o_orderdate": F.expr("o_orderdate + make_interval(0, 0, 0, version)"),
+                "o_orderpriority": F.when(version == 1, "0-UPDATED").otherwise(F.col("o_orderpriority")),
+                "bad": (n % 79 == 0) | ((version == 1) & (n % 40 == 0)),
+            }
+        )
+    else:
+        rows = rows.withColumn("bad", n % 79 == 0)
     day = F.to_date("o_orderdate").cast("string")
     return rows.select(
         _unless(n % 61 == 0, _key("TX-", n)).alias("transaction_id"),
@@ -107,7 +123,7 @@ def bronze_transactions(spark: SparkSession, folder: str, copies: bool = False)
         .otherwise(F.col("o_totalprice").cast("string"))
         .alias("amount"),
         F.when(n % 73 == 0, "USD ").otherwise(_currency(n)).alias("currency"),
-        F.when(n % 79 == 0, "bad-date")
+        F.when(F.col("bad"), "bad-date")
         .otherwise(F.concat(day, F.lit(" 10:00:00")))
         .alias("transaction_date"),
         F.concat(F.lit("order "), "o_orderpriority").alias("description"),
@@ -187,8 +203,8 @@ BRONZE_TABLES = {
 FORGED = '{"amount":1},{"end-of-body":""}] junk'
 
 
-def event_bodies(events: DataFrame) -> DataFrame:
-    """``events`` rows (batch or stream) as ``(topic, body)``."""
+def event_bodies(events: DataFrame, *others: str | Column) -> DataFrame:
+    """``events`` rows (batch or stream) as ``(topic, body)``, after other columns."""
     n, user = F.col("event_id"), F.col("user_id").cast("string")
     kind = F.col("event_type")
     topic = (
@@ -210,7 +226,26 @@ def event_bodies(events: DataFrame) -> DataFrame:
         .when(kind == "signup", customer)
         .otherwise(other)
     )
-    return events.select(topic.alias("topic"), body.alias("body"))
+    return events.select(*others, topic.alias("topic"), body.alias("body"))
+
+
+def slice_of(rows: DataFrame, number: int, slices: int) -> DataFrame:
+    """The rows that arrive as batch ``number``, by content: versions of a key come in any order."""
+    return rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(slices)) == number)
+
+
+def sent_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events with their id and the time they were sent."""
+    rows = spark.read.schema(f"{SOURCES['events']}, ts timestamp_ntz").parquet(f"{folder}/events.parquet")
+    return event_bodies(rows, "event_id", F.col("ts").cast("timestamp").alias("sent_at"))
+
+
+def resent_slice(events: DataFrame, number: int, days: int = 10) -> DataFrame:
+    """The events of one span of ``days`` in January 2024, and once more each third one of the span before."""
+    start = F.to_timestamp(F.lit("2024-01-01")) + F.make_dt_interval(F.lit(number * days))
+    since = (F.unix_micros("sent_at") - F.unix_micros(start)) / (86_400_000_000 * days)
+    own, again = (since >= 0) & (since < 1), (since >= -1) & (since < 0) & (F.col("event_id") % 3 == 0)
+    return events.where(own | again)
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,5 +1,13 @@
 """From event topics to landing tables."""
 
+from tributary.streaming.changes import (
+    current_rows,
+    latest_changes,
+    read_changes,
+    start_changes,
+    stateful_session,
+)
+from tributary.streaming.dedup import drop_resent
 from tributary.streaming.envelope import landing_rows, landing_table, visible_events
 from tributary.streaming.landing import (
     database_sink,
@@ -12,12 +20,18 @@ from tributary.streaming.landing import (
 
 __all__ = [
     "create_landing",
+    "current_rows",
     "database_sink",
+    "drop_resent",
     "event_stream",
     "folder_sink",
     "landing_rows",
     "landing_table",
+    "latest_changes",
+    "read_changes",
     "read_landing",
+    "start_changes",
     "start_landing",
+    "stateful_session",
     "visible_events",
 ]
