@@ -24,6 +24,7 @@ def components(links: DataFrame, stage: Stage, name: str = "cc") -> DataFrame:
         jump = lower.select(F.col("v").alias("label"), F.col("label").alias("next"))
         now = stage.table(lower.join(jump, "label", "left").select("v", F.least("label", "next").alias("label"), "old"), f"{name}-{turn}")
         if now.where("label <> old").isEmpty():
+            stage.drop(f"{name}-links", f"{name}-near", *(f"{name}-{k}" for k in range(1, turn) if not f"{turn}".startswith(f"{k}")))
             return now.select("v", "label")
         turn += 1
         near = (
