@@ -17,7 +17,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
-from tributary.llm import decontaminate, licenses, neardup, packing, pii, quality, repeats, secret_scan, toxicity, warc
+from tributary.llm import decontaminate, graph, licenses, neardup, packing, pii, quality, repeats, secret_scan, toxicity, warc
 from tributary.llm.graph import components
 from tributary.llm.tables import Stage
 
@@ -192,7 +192,9 @@ def test_near_duplicates_of_one_large_group(spark, monkeypatch, levels):
     same([tuple(r) for r in neardup.near_duplicates(df).collect()], brute_components(rows))
 
 
-def test_components_of_a_chain(spark):
+@pytest.mark.parametrize("together", [1_000, 20])
+def test_components_of_a_chain(spark, monkeypatch, together):
+    monkeypatch.setattr(graph, "TOGETHER", together)
     links = spark.range(200).selectExpr("(id * 7919) % 1000003 a", "((id + 1) * 7919) % 1000003 b")
     least = min(k * 7919 % 1000003 for k in range(201))
     found = components(links, Stage(spark)).collect()

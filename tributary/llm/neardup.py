@@ -169,8 +169,12 @@ def _near(table: pa.RecordBatch) -> list[pa.Array]:
                 some[k] = some[partners] = True
                 _merge(root, k, partners)
         at = np.flatnonzero(some)
+        # The smallest label names what is connected, so that nodes of several trees give the same name.
+        names, which = np.unique(root[at], return_inverse=True)
+        least = np.full(len(names), np.iinfo(np.int64).max)
+        np.minimum.at(least, which, label[at])
         found.append(at + lo)
-        roots.append(root[at])
+        roots.append(least[which])
     taken = np.concatenate(found) if found else np.zeros(0, np.int64)
     root = np.concatenate(roots) if roots else np.zeros(0, np.int64)
     return [rows.field("cls").take(pa.array(taken)), pa.array(columns[2][taken]), pa.array(root)]
@@ -348,9 +352,9 @@ def _labels(classes: DataFrame, source: DataFrame, rows: DataFrame, stage: Stage
     if not large.isEmpty():
         labels = _merged(labels, stage.table(_links(_lists_of(_with_hubs(large), ("cluster", "block"), set_)).distinct(), "hub-links"), stage, "hubs")
         now = large.drop("label").join(labels, "cls")
-        labels = _merged(labels, stage.table(_links(_lists_of(_apart(now, stage), ("cluster", "i", "j"), set_)).distinct(), "large-links"), stage, "large")
-    # Small clusters keep the labels that they came with until now: no cluster holds labels of another.
-    return _merged(labels, small, stage, "small")
+        # No cluster holds labels of another, so those of small clusters are still the ones that they came with.
+        small = small.union(stage.table(_links(_lists_of(_apart(now, stage), ("cluster", "i", "j"), set_)).distinct(), "large-links"))
+    return _merged(labels, small, stage, "all")
 
 
 def _with_hubs(large: DataFrame) -> DataFrame:
