@@ -24,7 +24,7 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     base, every = ([k.name for k in pii.KINDS if k.always or not only] for only in (True, False))
     return found.select(
         "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in base),
-        F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text(every).alias("spans"),
+        F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text(every).alias("spans"), pii.scores_text(every).alias("scores"),
     )
 
 
@@ -126,13 +126,12 @@ SQL: dict[str, str] = {
 WITH b AS (SELECT item_id, {_WORDS.format(_PLAIN)} AS w FROM benchmark),
 bi AS (SELECT item_id, w, least(len(w), 5) AS width, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b WHERE len(w) > 0),
 bg AS (SELECT DISTINCT item_id, width, array_to_string(w[i : i + width - 1], ' ') AS g FROM bi),
-same AS (SELECT list(g ORDER BY g) AS gs, width, item_id FROM bg GROUP BY item_id, width),
-rep AS (SELECT min(item_id) AS item_id, len(gs) AS n FROM same GROUP BY gs, width),
+size AS (SELECT item_id, count(*) AS n FROM bg GROUP BY item_id),
 d AS (SELECT doc_id, {_WORDS.format(_PLAIN)} AS w FROM documents),
 di AS (SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS i FROM d, (SELECT DISTINCT width FROM bg) WHERE len(w) >= width),
 dg AS (SELECT DISTINCT doc_id, width, array_to_string(w[i : i + width - 1], ' ') AS g FROM di)
 SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_shingles, count(*) AS n_common
-FROM dg JOIN bg USING (width, g) JOIN rep USING (item_id) GROUP BY doc_id, item_id, n HAVING 100 * count(*) >= 75 * n""",
+FROM dg JOIN bg USING (width, g) JOIN size USING (item_id) GROUP BY doc_id, item_id, n HAVING 100 * count(*) >= 75 * n""",
     "op6_minhash_neardup": f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
 e AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0),
