@@ -8,6 +8,7 @@ a letter or digit) as a known text has. Whole texts besides those below are file
 
 from __future__ import annotations
 
+from collections import Counter
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 
 from tributary.llm.tables import Stage
 
-#: Known digests that are broadcast at most; more are joined by shuffle.
-BROADCAST_ROWS = 200_000
+#: Known digests that are broadcast at most; more are joined by shuffle. Known texts from which words are drawn that
+#: tell where to look.
+BROADCAST_ROWS, GATED = 200_000, 20_000
 
 #: Equivalent spellings, the left one becomes the right one (fixed values).
 SPELLINGS = (
@@ -107,6 +109,26 @@ def blocks_of(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"\n[^\p{L}\p{N}]*\n", -1), canonical), lambda x: x != "")
 
 
+def gate_of(forms: list[list[str]]) -> str | None:
+    """A pattern that every text with one of these canonical forms (words) matches in lower case.
+
+    It has words of letters such that each form has one of them: the word in most forms first. A word
+    that an equivalent spelling may stand for comes with it. None if a form has no such word.
+    """
+    spelt = {}
+    for other, usual in SPELLINGS:
+        spelt.setdefault(usual, []).append(other)
+    left, words = [{w for w in form if w.isascii() and w.isalpha() and len(w) > 3} for form in forms], []
+    while left:
+        counts = Counter(w for form in left for w in form)
+        if not counts or not all(left):
+            return None
+        word = max(counts, key=lambda w: (counts[w], len(w), w))
+        words += [word, *spelt.get(word, ())]
+        left = [form for form in left if word not in form]
+    return "|".join(words) if words else None
+
+
 def known_licenses(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
     """(license_id, text)."""
     return spark.createDataFrame(sorted(texts.items() if texts else all_known()), "license_id string, text string")
@@ -115,29 +137,33 @@ def known_licenses(spark: SparkSession, texts: dict[str, str] | None = None) ->
 def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per distinct (id, text): id, ``copies``, ``digest`` of the whole text, ``license_id`` if that is
     a known one, ``line_licenses`` (ids of licences that are whole lines, in order of name),
-    ``n_license_lines`` and ``block_licenses`` (ids of licences that are runs of whole blocks, in order of name).
+    ``n_license_lines`` (different lines, not repeats) and ``block_licenses`` (ids of licences that are runs of whole blocks, in order of name).
 
     ``known`` has (license_id, text); of licences with one canonical form the first by name counts,
     those with an empty form are left out. Null and empty texts match nothing. Rows without an id
     count as one id. Other columns are not carried along.
     """
     stage = Stage(docs.sparkSession)
-    digests = known.select("license_id", canonical(F.col("text")).alias("c")).where("license_id is not null and c <> ''")
-    digests = stage.table(digests.groupBy(F.sha2("c", 256).alias("unit")).agg(F.min("license_id").alias("license_id")), "digests")
-    n, longest = stage.table(
-        known.select(F.length(canonical(F.col("text"))).alias("n")), "lengths"
-    ).agg(F.count("*"), F.max("n")).first()
+    forms = stage.table(known.select("license_id", canonical(F.col("text")).alias("c")).where("license_id is not null and c <> ''"), "forms")
+    digests = stage.table(forms.groupBy(F.sha2("c", 256).alias("unit")).agg(F.min("license_id").alias("license_id")), "digests")
+    n = forms.count()
+    gate = gate_of([r[0] for r in forms.select(F.array_distinct(F.split("c", " "))).collect()]) if 0 < n <= GATED else None
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"))
+
+    def may_be(text: Column) -> Column:
+        """False only for what is no known text and holds none."""
+        return F.lower(text).rlike(gate) if gate else F.lit(True)
+
     whole = F.sha2(canonical(F.col("t")), 256)
-    # A line that is longer than any licence in canonical form can be even before normalisation is none.
-    lines = F.filter(F.split("t", "\n", -1), lambda x: (F.length(x) >= 3) & x.rlike(r"\p{L}"))
+    lines = F.filter(F.split("t", "\n", -1), lambda x: (F.length(x) >= 3) & x.rlike(r"\p{L}") & may_be(x))
+    lines = F.when(may_be(F.col("t")), lines).otherwise(F.expr("cast(array() as array<string>)"))
     units = source.select("id", whole.alias("digest"), F.array_union(F.array(F.lit(None).cast("string")), lines).alias("units"))
     units = units.select("id", "digest", F.posexplode_outer("units").alias("place", "line"))
     units = units.withColumn("unit", F.when(F.col("place") == 0, F.col("digest")).otherwise(F.sha2(canonical(F.col("line")), 256)))
     joined = units.select("id", "digest", "place", "unit").join(F.broadcast(digests) if n <= BROADCAST_ROWS else digests, "unit", "left")
     joined = joined.select("id", "digest", "place", "license_id")
-    joined = joined.union(_in_blocks(source, known, stage, n <= BROADCAST_ROWS))
+    joined = joined.union(_in_blocks(source.where(may_be(F.col("t"))), known, stage, n <= BROADCAST_ROWS))
     line = F.when(F.col("place") > 0, F.col("license_id"))
     return joined.groupBy("id", "digest").agg(
         F.count_if(F.col("place") == 0).alias("copies"), F.max(F.when(F.col("place") == 0, F.col("license_id"))).alias("license_id"),
