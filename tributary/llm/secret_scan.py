@@ -45,15 +45,17 @@ SAMPLE, TREES, DEPTH, SEED, THRESHOLD = 1500, 15, 5, 17, 0.5
 MASK = "[SECRET]"
 
 
-def frequent_words(docs: DataFrame, text_col: str = "text") -> list[str]:
-    """The words of 4 to 20 letters that occur most often, in lower case: at most ``FREQUENT``, each at least
-    ``OCCURRENCES`` times, ties by the word. Counted over all documents; only these words come to the driver."""
+def frequent_words(docs: DataFrame, text_col: str = "text", most: int | None = FREQUENT) -> list[str]:
+    """The words of 4 to 20 letters that occur most often, in lower case: at most ``most``, each at least
+    ``OCCURRENCES`` times, ties by the word. Counted over all documents; only these words come to the driver.
+    Without a limit (None) all such words do, and make up the pattern that candidates are cut by."""
     text = F.lower(F.col(f"`{text_col}`").cast("string"))
     tokens = docs.select(F.explode(F.split(text, GAP, -1)).alias("w")).where(F.length("w").between(4, 40)).groupBy("w").count()
     # Patterns only meet distinct tokens.
     word = F.regexp_extract("w", r"^[^\p{L}\p{N}]*+(\p{L}{4,20})[^\p{L}\p{N}]*$", 1)
     counted = tokens.select(word.alias("word"), "count").groupBy("word").agg(F.sum("count").alias("n"))
-    top = counted.where(f"word <> '' and n >= {OCCURRENCES}").orderBy(F.desc("n"), "word").limit(FREQUENT)
+    top = counted.where(f"word <> '' and n >= {OCCURRENCES}").orderBy(F.desc("n"), "word")
+    top = top if most is None else top.limit(most)
     return [r.word for r in top.collect()]
 
 
@@ -111,11 +113,13 @@ def _candidates(docs: DataFrame, text: str, dictionary: list[str]) -> DataFrame:
 
 
 def labelled_findings(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(text, label) derived from at most ``sample`` documents: secrets and look-alikes, made of digests
-    and words of the documents, among words of the documents."""
-    picked = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).withColumn("o", F.sha2("t", 256)).orderBy("o").limit(sample)
-    # The first words are enough context; the operator itself reads whole texts.
-    base = picked.select("o", F.slice(words_of(F.substring("t", 1, 2000)), 1, 40).alias("w")).withColumn("n", F.size("w")).where("n >= 4")
+    """(text, label) derived from at most ``sample`` documents, those with the smallest digests: secrets and
+    look-alikes, made of digests and words of the documents, each between the words round a place anywhere in a document."""
+    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).withColumn("o", F.sha2("t", 256))
+    # Digests are ordered, not texts; equal texts are one.
+    least = Stage(docs.sparkSession).table(texts.select("o").distinct().orderBy("o").limit(sample), "picked")
+    picked = texts.join(F.broadcast(least), "o").groupBy("o").agg(F.first("t").alias("t"))
+    base = picked.select("o", words_of(F.col("t")).alias("w")).withColumn("n", F.size("w")).where("n >= 4")
     hex_ = F.sha2(F.concat("o", F.lit("hex")), 256)
     b64 = F.regexp_replace(F.base64(F.unhex(F.sha2(F.concat("o", F.lit("b64")), 256))), "=+$", "")
     caps = F.upper(F.translate(F.substring(F.sha2(F.concat("o", F.lit("caps")), 256), 1, 16), "0189", "WXYZ"))
@@ -140,7 +144,9 @@ def labelled_findings(docs: DataFrame, text_col: str = "text", sample: int = SAM
     kinds = [F.struct(c.alias("x"), F.lit(label).alias("label")) for label, group in ((1, secrets), (0, likes)) for c in group]
     rows = base.select("w", "o", F.posexplode(F.array(*kinds)).alias("kind", "y"))
     middle = F.expr("int(1 + pmod(xxhash64(o, kind), greatest(size(w) - 1, 1)))")
-    text = F.concat_ws(" ", F.slice("w", F.lit(1), middle), F.col("y.x"), F.slice("w", middle + 1, F.lit(40)))
+    # More than ``NEARBY`` characters to either side are never looked at.
+    first = F.greatest(F.lit(1), middle - (NEARBY // 2 - 1))
+    text = F.concat_ws(" ", F.slice("w", first, middle - first + 1), F.col("y.x"), F.slice("w", middle + 1, F.lit(NEARBY // 2)))
     return rows.select(text.alias("text"), F.col("y.label").alias("label"))
 
 
