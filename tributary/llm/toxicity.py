@@ -21,12 +21,8 @@ from tributary.llm.tokens import chunks, words_of
 SAMPLE, VOCABULARY, FOLDS, STEPS, RIDGE = 5_000, 2_000, 4, 80, 1e-3
 #: Beginnings of words that count as words of their own, in bytes: inflected and compound forms share them.
 HEADS = (4, 5, 6)
-#: Words that mark a category among toxic documents (fixed values); the last category is the label itself.
-CATEGORIES = {
-    "insult": ("idiot", "moron", "stupid", "fool", "dumb", "loser", "clown"),
-    "contempt": ("worthless", "pathetic", "trash", "scum", "garbage", "useless"),
-    "disgust": ("disgusting", "vile", "filthy", "revolting", "gross"),
-}
+#: Kinds of toxic documents that are told apart, rounds in which they settle, words that tell toxic ones most.
+KINDS, ROUNDS, TELLING = 3, 12, 300
 #: Letters, digits and bytes of other alphabets make words; all else ends one.
 _GAP = np.ones(256, bool)
 _GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -104,16 +100,33 @@ def _presence(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
         yield first, end, np.concatenate(doc), np.concatenate(found)
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    data = " ".join(words).encode()
-    return words_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]), lower=True, gap=_GAP).hashes
+def kinds_of(doc: np.ndarray, word: np.ndarray, n: int, size: int) -> np.ndarray:
+    """The kind (0 to ``KINDS`` - 1, larger kinds first) of each of n documents, by which of ``size`` words they hold.
+
+    Spherical k-means: the first centre is the document most like the mean, the others those least like the
+    centres before. Documents without a word are of the first kind.
+    """
+    x = np.zeros((n, size))
+    x[doc, word] = 1
+    x *= np.log(n / np.maximum(x.sum(axis=0), 1)) + 0.1  # a word that most hold tells little apart
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    centres = x[[int(np.argmax(x @ x.mean(axis=0)))]]
+    while len(centres) < KINDS:
+        centres = np.vstack([centres, x[int(np.argmin((x @ centres.T).max(axis=1)))]])
+    for _ in range(ROUNDS):
+        kind = np.argmax(x @ centres.T, axis=1)
+        centres = np.vstack([x[kind == k].sum(axis=0) if (kind == k).any() else centres[k] for k in range(KINDS)])
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
+    order = np.argsort(-np.bincount(kind, minlength=KINDS), kind="stable")
+    return np.argsort(order)[kind]
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Chain | None:
     """A chain fitted on at most ``sample`` labelled documents, those with the smallest hashed ids.
 
-    A category is a toxic document with one of its words. Labels other than 0 and 1, and labels
-    without a document, are left out. Without both labels there is no chain.
+    The earlier categories are the kinds that toxic documents fall into by the words that set them apart from
+    others; the last is the label itself. Labels other than 0 and 1, and labels without a document, are
+    left out. Without both labels there is no chain.
     """
     picked = (
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
@@ -141,13 +154,18 @@ def train_chain(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     place = np.searchsorted(chosen, word)
     mine = chosen[np.minimum(place, len(chosen) - 1)] == word
     doc, place = doc[mine], place[mine]
-    columns = []
-    for marks in CATEGORIES.values():
-        marked = np.zeros(len(sets), bool)
-        for h in word_hashes(list(marks)):
-            marked |= np.array([h in s for s in (set(x.tolist()) for x in sets)])
-        columns.append(marked & (toxic == 1))
-    return fit_chain(doc, place, np.column_stack([*columns, toxic]), chosen, [*CATEGORIES, label_col])
+    telling = np.argsort(-np.where(a * d > b * c, chi, -1)[np.searchsorted(names, chosen)], kind="stable")[:TELLING]
+    rank = np.full(len(chosen), -1)
+    rank[telling] = np.arange(len(telling))
+    number = np.cumsum(toxic) - 1
+    told = (toxic[doc] == 1) & (rank[place] >= 0)
+    kinds = np.full(len(sets), -1)
+    kinds[toxic == 1] = kinds_of(number[doc[told]], rank[place[told]], int(toxic.sum()), len(telling))
+    return fit_chain(doc, place, np.column_stack([*(kinds == k for k in range(KINDS)), toxic]), chosen, [*_kind_names(), label_col])
+
+
+def _kind_names() -> list[str]:
+    return [f"kind_{k + 1}" for k in range(KINDS)]
 
 
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +199,7 @@ def score_toxicity(docs: DataFrame, chain: Chain | None, id_col: str = "doc_id",
     probabilities are 0. Rows with the same id, or none, are scored each for itself. Other columns are
     not carried along.
     """
-    names = [f"p_{c}" for c in (chain.names if chain else [*CATEGORIES, "toxic"])]
+    names = [f"p_{c}" for c in (chain.names if chain else [*_kind_names(), "toxic"])]
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     scored = source.mapInArrow(_scored(chain, names), "id long, " + ", ".join(f"{n} double" for n in names))
     return scored.withColumn("toxic", F.col(names[-1]) >= threshold).withColumnRenamed("id", id_col)
