@@ -15,46 +15,60 @@ from tributary.llm.queries import TOKENIZER
 from tributary.llm.tables import Stage
 
 
-def _columns(docs: DataFrame) -> list[str]:
-    return [f"`{c}`" for c in docs.columns]
+def _in_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, row): operators add columns of their own, which names in ``row`` cannot clash with."""
+    return docs.select("doc_id", "text", F.struct([F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rule and the learned decision list."""
-    rules = quality.learn_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.judge(docs, rules).where("quality_kept").select(*_columns(docs))
+    """Documents that pass the base rule and the learned decision list.
+
+    Null and empty texts fail it. Rows are judged each for itself, those that repeat or have no id too. Without
+    labels only the base rule counts; an empty table gives an empty one.
+    """
+    rows = _in_rows(docs)
+    rules = quality.learn_rules(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judge(rows, rules).where("quality_kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that with the smallest id, and one row of rows with that id.
+    """One document of each group of near-duplicates: that with the smallest id, null last.
 
-    Rows without an id stay, as nothing can name them.
+    Texts that are not alike stay though they share an id; of rows equal in id and text one stays. Texts
+    without words stay. An empty table gives an empty one.
     """
-    kept = neardup.near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
-    found = docs.join(Stage(spark).table(kept, "kept"), F.col("doc_id") == F.col("kept_id"), "left_semi")
-    # The few ids that occur again: the first row by content.
-    twice = docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null")
-    if not twice.isEmpty():
-        found = found.dropDuplicates(["doc_id"])
-    return found.unionByName(docs.where("doc_id is null")).select(*_columns(docs))
+    return neardup.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark. Rows without an id share one verdict."""
-    found = decontaminate.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    holding = Stage(spark).table(found.select(F.col("doc_id").alias("holding_id")).distinct(), "holding")
-    return docs.join(holding, F.col("doc_id").eqNullSafe(F.col("holding_id")), "left_anti").select(*_columns(docs))
+    """Documents that hold no item of the benchmark.
+
+    Each row is judged by its own text, whether or not it has an id or shares one. Null and empty
+    texts stay. Empty tables, also of the benchmark, remove nothing.
+    """
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts masked, and ``n_chars`` of the text as it then is."""
-    model = secret_scan.train(secret_scan.labelled_findings(docs), secret_scan.frequent_words(docs))
-    masked = secret_scan.mask_secrets(docs, model)
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
+    """All documents, secrets in their texts masked, and ``n_chars`` of the text as it then is.
+
+    Null and empty texts stay as they are (``n_chars`` of a null text is null). Equal rows are masked alike;
+    ids play no part. An empty table gives an empty one.
+    """
+    rows = _in_rows(docs)
+    model = secret_scan.train(secret_scan.labelled_findings(rows), secret_scan.frequent_words(rows))
+    masked = secret_scan.mask_secrets(rows, model)
+    types = dict(zip(docs.columns, (f.dataType for f in docs.schema.fields)))
+    made = {"text": F.col("text"), "n_chars": F.length("text")}
+    return masked.select([(made[c].cast(types[c]) if c in made else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all pieces in training sequences."""
+    """Places of all pieces in training sequences.
+
+    Null texts are empty: one piece with the end mark. Rows that repeat are packed each for itself. An empty
+    table gives an empty one.
+    """
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
