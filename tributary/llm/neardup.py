@@ -42,6 +42,8 @@ TREES, COORDINATES, LEAF, LEVELS, WAYS = 14, 40, 4096, 6, 2
 SKETCH_BLOCK = 2048
 #: Members, and shingles where they are many, of a block that is compared on full sets; hubs of a cluster of several blocks.
 BLOCK, BLOCK_SHINGLES, HUBS = 512, 1 << 19, 8
+#: Bytes of text that a task works on at once.
+CHUNK = 1 << 20
 #: Coordinates that must agree before two sets are compared in full. Of 40, a pair at the threshold
 #: has fewer than 14 with probability 2e-7.
 AGREE = 14
@@ -110,7 +112,7 @@ def _sketch(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, data, at in chunks(batch.column(2)):
+            for first, end, data, at in chunks(batch.column(2), CHUNK):
                 hashes, starts = _sets(data, at, shingle)
                 least = _least(hashes, starts)
                 id_, key, tag = (batch.column(k).slice(first, end - first).cast(pa.int64()) for k in (0, 1, 3))
@@ -125,7 +127,7 @@ def _full_sets(shingle: int, others: list[str]) -> Callable[[Iterator[pa.RecordB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, data, at in chunks(batch.column("text")):
+            for first, end, data, at in chunks(batch.column("text"), CHUNK):
                 hashes, starts = _sets(data, at, shingle)
                 part = batch.slice(first, end - first)
                 sets = pa.ListArray.from_arrays(starts.astype(np.int32), hashes.view(np.int64))

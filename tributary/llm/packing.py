@@ -29,11 +29,13 @@ from tributary.llm.tokens import chunks
 
 CAPACITY = 1024
 END = 2
-#: Pieces packed in one task, rounds of exchange at most, words a worker
-#: remembers the ids of (300 MB), lines handed to the tokenizer at once.
-PART, ROUNDS, REMEMBERED, LINES = 3000, 8, 1_300_000, 500
+#: Pieces packed in one task, rounds of exchange at most, lines handed to the tokenizer at once.
+PART, ROUNDS, LINES = 3000, 8, 500
+#: Bytes of words and ids that a worker remembers, what each costs besides, and the longest word remembered.
+REMEMBERED, EACH, LONGEST = 160 << 20, 170, 400
 
 _CACHE: dict[str, dict[str, bytes]] = {}
+_HELD: dict[str, int] = {}
 _TOKENIZERS: dict[str, object] = {}
 
 
@@ -59,12 +61,20 @@ def token_bytes(texts: list[str], path: str) -> list[bytes]:
     split = [None if _joining(t) else (_MARK + t.replace("\n", f" {_BREAK} {_MARK}")).split(" ") for t in texts]
     parts = set().union(*(s for s in split if s))
     new = [w for w in parts if w not in known]
-    if len(known) + len(new) > REMEMBERED:
+    size = EACH * len(new) + 2 * sum(map(len, new))
+    if _HELD.get(path, 0) + size > REMEMBERED:
         known.clear()
-        new = list(parts)
+        _HELD[path], new = 0, list(parts)
+        size = EACH * len(new) + 2 * sum(map(len, new))
     known.update(_encode_parts(tokenizer, new))
     whole = iter(_encode(tokenizer, [t for t, s in zip(texts, split) if s is None]))
-    return [next(whole) if s is None else b"".join(map(known.__getitem__, s)) for s in split]
+    ids = [next(whole) if s is None else b"".join(map(known.__getitem__, s)) for s in split]
+    # Long words, as of text without spaces, are of use for these texts only.
+    for word in [w for w in new if len(w) > LONGEST]:
+        size -= EACH + 2 * len(word)
+        del known[word]
+    _HELD[path] = _HELD.get(path, 0) + size
+    return ids
 
 
 _MARK = "\x01"
