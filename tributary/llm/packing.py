@@ -32,7 +32,7 @@ END = 2
 #: Pieces packed in one task, rounds of exchange at most, lines handed to the tokenizer at once.
 PART, ROUNDS, LINES = 3000, 8, 500
 #: Bytes of words and ids that a worker remembers, what each costs besides, and the longest word remembered.
-REMEMBERED, EACH, LONGEST = 160 << 20, 170, 400
+REMEMBERED, EACH, LONGEST = 240 << 20, 170, 400
 
 _CACHE: dict[str, dict[str, bytes]] = {}
 _HELD: dict[str, int] = {}
