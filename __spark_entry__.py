@@ -22,8 +22,17 @@ from tributary.operators import explode_parquet_payloads  # noqa: E402
 from tributary.plans import gold, refresh, silver  # noqa: E402
 from tributary.plans.star import star_transactions as star  # noqa: E402
 from tributary.schemas import BRONZE, RAW, REJECTS  # noqa: E402
-from tributary.sources import copy_tables, read_bronze, read_table, scratch_folder, write_table  # noqa: E402
+from tributary.sources import (  # noqa: E402
+    copy_new_batches,
+    copy_tables,
+    read_bronze,
+    read_copied,
+    read_table,
+    scratch_folder,
+    write_table,
+)
 from tributary.sources import sample  # noqa: E402
+from tributary.plans.daily import DailyFact  # noqa: E402
 from tributary.plans.maintain import (  # noqa: E402
     Fact,
     Maintained,
@@ -330,6 +339,42 @@ def run_all_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def quality_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """malformed values by column, counted while silver is written."""
+    root = scratch_folder(spark)
+    lake = refresh.Lakehouse(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+
+    def written(entity: str, build: Query) -> None:
+        write_table(build(spark, folder), lake.bronze, entity)
+        lake.refresh_silver(entity)
+
+    refresh.side_by_side(*(partial(written, entity, build) for entity, build in sample.BRONZE_TABLES.items()))
+    return lake.flags()
+
+
+def fact_transaction_daily_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """A8 of transactions in two batches of years, then late ones of one month: each replaces its days."""
+    kept = DailyFact(spark, scratch_folder(spark), by="yyyy-MM")
+    bronze = sample.bronze_transactions(spark, folder)
+    late = F.col("transaction_date").startswith("1996-03") & (F.crc32(F.col("transaction_id").cast("binary")) % 3 == 0)
+    batch = F.when(late, 2).when(F.col("transaction_date") < "1998-07-01", 0).otherwise(1)
+    for number in range(SLICES):
+        kept.add(silver.silver_transactions(bronze.where(batch == number)), number)
+    return kept.table()
+
+
+def bronze_by_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Landing tables copied batch by batch: the rows of all four."""
+    root, events = scratch_folder(spark), sample.events(spark, folder)
+    for number in range(SLICES):
+        sample.slice_of(events, number, SLICES).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        start_landing(stream, f"{root}/landing", trigger=ONCE).awaitTermination()
+        copy_new_batches(spark, f"{root}/landing", f"{root}/bronze")
+    tables = [read_copied(spark, f"{root}/bronze", t).withColumn(TARGET, F.lit(t)) for t in BRONZE]
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), tables)
+
+
 def silver_transactions_updates(spark: SparkSession, folder: str) -> DataFrame:
     bronze = sample.bronze_transactions(spark, folder, updates=True)
     return _comparable(silver.silver_transactions(bronze, dedup=True))
@@ -386,6 +431,9 @@ def queries() -> dict[str, Query]:
         "bronze_copy": bronze_copy,
         "run_all": run_all,
         "run_all_dedup": run_all_dedup,
+        "quality_flags": quality_flags,
+        "fact_transaction_daily_by_day": fact_transaction_daily_by_day,
+        "bronze_by_ledger": bronze_by_ledger,
         "stream_landing_rows": stream_landing_rows,
         "stream_dedup": stream_dedup,
         "customer_latest_stream": _latest_by_stream("customers", sample.bronze_customers),

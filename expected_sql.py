@@ -455,3 +455,17 @@ EXPECTED["bronze_copy"] = LANDED
 EXPECTED["stream_landing_rows"] = f"{LANDED} UNION ALL BY NAME SELECT 'rejects' AS target, * FROM ({EXPECTED['ingest_rejects']})"
 # What was sent again lands once.
 EXPECTED["stream_dedup"] = EXPECTED["stream_landing_rows"]
+EXPECTED["bronze_by_ledger"] = LANDED
+EXPECTED["fact_transaction_daily_by_day"] = EXPECTED["fact_transaction_daily"]
+EXPECTED["quality_flags"] = _with(
+    f"{ACCOUNTS.strip()},{BRANCHES},{CUSTOMERS}",
+    """
+    SELECT 'customers' AS "table", 'CreatedAt' AS "column", count(*) AS malformed
+      FROM customer_versions WHERE n % 37 <> 0 AND version = 1 AND n % 20 = 0
+    UNION ALL SELECT 'transactions', 'amount', count(*) FROM orders
+      WHERE o_orderkey % 61 <> 0 AND o_orderkey % 67 <> 0 AND o_orderkey % 71 = 0
+    UNION ALL SELECT 'transactions', 'transaction_date', count(*) FROM orders
+      WHERE o_orderkey % 61 <> 0 AND o_orderkey % 67 <> 0 AND o_orderkey % 79 = 0
+    UNION ALL SELECT 'accounts', 'created_at', count(*) FROM account_versions WHERE n % 43 <> 0 AND n % 82 <> 0 AND n % 59 = 0
+    UNION ALL SELECT 'branches', 'opened_on', count(*) FROM branch_versions WHERE n % 17 <> 0 AND n % 5 <> 0 AND n % 6 = 0""",
+)

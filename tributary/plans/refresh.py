@@ -8,13 +8,14 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tributary.plans import gold
 from tributary.plans.silver import SILVER_TABLES
 from tributary.schemas import SILVER
 from tributary.sources.tables import read_bronze, read_table, write_table
 
+FLAGS = "table string, column string, malformed long"
 Tables = Callable[[DataFrame], dict[str, DataFrame]]
 
 GOLD_TABLES = (
@@ -61,10 +62,18 @@ class Lakehouse:
 
     def refresh_silver(self, entity: str) -> DataFrame:
         options = {"dedup": True} if entity in self.dedup else {}
-        rows = SILVER_TABLES[entity](read_bronze(self.spark, self.bronze, entity), **options)
+        found = Observation(entity)
+        rows = SILVER_TABLES[entity](read_bronze(self.spark, self.bronze, entity), flags=found, **options)
         write_table(rows, self.silver, entity)
+        # Counted while the table was written, so nothing is read again.
+        counts = [(entity, column, n) for column, n in found.get.items()]
+        write_table(self.spark.createDataFrame(counts, FLAGS).coalesce(1), f"{self.silver}/_flags", entity)
         return read_table(self.spark, self.silver, entity, schema=SILVER[entity])
 
+    def flags(self) -> DataFrame:
+        """Text of each silver table that had no readable value and became NULL in the last refresh."""
+        return self.spark.read.schema(FLAGS).parquet(*(f"{self.silver}/_flags/{e}" for e in SILVER_TABLES))
+
     def save(self, name: str, df: DataFrame) -> None:
         write_table(df, self.gold, name, self.fmt)
 

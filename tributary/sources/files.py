@@ -15,14 +15,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
-def complete_folders(spark: SparkSession, root: str, key: str) -> list[int]:
-    """The numbers n, in order, of folders ``<key>=<n>`` under ``root`` whose write was committed."""
+def folders(spark: SparkSession, root: str, key: str) -> list[int]:
+    """The numbers n, in order, of folders ``<key>=<n>`` under ``root``."""
     system, place = _place(spark, root)
     if not system.exists(place):
         return []
     names = [s.getPath().getName() for s in system.listStatus(place) if s.isDirectory()]
-    numbers = [int(n.partition("=")[2]) for n in names if n.partition("=")[0] == key]
-    return sorted(n for n in numbers if exists(spark, f"{root}/{key}={n}/_SUCCESS"))
+    return sorted(int(n.partition("=")[2]) for n in names if n.partition("=")[0] == key)
+
+
+def complete_folders(spark: SparkSession, root: str, key: str) -> list[int]:
+    """Those of ``folders`` whose write was committed."""
+    return [n for n in folders(spark, root, key) if exists(spark, f"{root}/{key}={n}/_SUCCESS")]
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
