@@ -138,6 +138,18 @@ def test_repeats(docs, rows):
     same([tuple(r) for r in repeats.remove_repeats(docs).collect()], expected)
 
 
+def test_repeats_of_many_rows_without_id(spark, monkeypatch):
+    """They are spread over the groups, copies of one text are worked on once, and no row is lost."""
+    monkeypatch.setattr(repeats, "COPIES", 7)
+    passage = " ".join(f"w{k}" for k in range(20))
+    texts = [(None, f"a{k} {passage}") for k in range(40)] + [(None, passage)] * 50 + [(None, None)] * 3 + [(1, passage)]
+    found = repeats.remove_repeats(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    counts = collections.Counter((r.doc_id, r.n_words, r.n_removed) for r in found)
+    assert counts == {(1, 20, 0): 1, (None, 21, 20): 40, (None, 20, 20): 50, (None, 0, 0): 3}
+    ids, tags = np.full(1000, repeats._NO_ID), np.arange(1000, dtype=np.uint32) * np.uint32(2654435)
+    assert np.bincount(repeats._group(ids, tags, 65)).max() < 40
+
+
 def shingles(text):
     w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return frozenset(tuple(w[k : k + 5]) for k in range(max(len(w) - 4, min(len(w), 1))))

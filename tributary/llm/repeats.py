@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.blobs import pack, unpack
-from tributary.llm.tables import parts_for, text_bytes
+from tributary.llm.tables import parts_for
 from tributary.llm.tokens import chunks, words_of
 
 WINDOW = 13
 #: Windows combined in a task before they are sent on (about 100 MB), bytes of text in a hash range
 #: or a group of documents. They set how the work is cut, never the result.
 COMBINE, RANGE_BYTES, GROUP_BYTES = 2_000_000, 12 << 20, 8 << 20
+#: Copies of a row without an id that are written from one array.
+COPIES = 10_000
 
 _FOUND = pa.schema(
     [("kind", pa.int8()), ("part", pa.int32()), ("n", pa.int32()), ("docs", pa.int32()), ("blob", pa.binary())]
@@ -48,13 +50,15 @@ def _ids(column: pa.Array) -> np.ndarray:
     return column.cast(pa.int64()).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
 
 
-def _group(ids: np.ndarray, groups: int) -> np.ndarray:
-    """As ``_GROUP_SQL``."""
+def _group(ids: np.ndarray, tags: np.ndarray, groups: int) -> np.ndarray:
+    """As ``_GROUP_SQL``: by id, rows without one by the checksum of their text."""
+    ids = np.where(ids == _NO_ID, tags.astype(np.int64), ids)
     return ((ids ^ (ids.view(np.uint64) >> np.uint64(7)).view(np.int64)) % groups).astype(np.int32)
 
 
+_KEY_SQL = f"if(coalesce(id, {_NO_ID}L) = {_NO_ID}L, coalesce(crc32(cast(text as binary)), 0L), id) key"
 #: An odd number of groups, so that ids with a common power of two still spread.
-_GROUP_SQL = f"cast(pmod(coalesce(id, {_NO_ID}L) ^ shiftrightunsigned(coalesce(id, {_NO_ID}L), 7), {{}}) as int) g"
+_GROUP_SQL = "cast(pmod(key ^ shiftrightunsigned(key, 7), {}) as int) g"
 
 
 def _settled(ids: np.ndarray, tags: np.ndarray, doc: np.ndarray, place: np.ndarray, groups: int) -> list[tuple]:
@@ -65,7 +69,7 @@ def _settled(ids: np.ndarray, tags: np.ndarray, doc: np.ndarray, place: np.ndarr
     order = np.lexsort((place, doc))
     doc, place = doc[order], place[order]
     used, doc = np.unique(doc, return_inverse=True)
-    part = _group(ids[used], groups)
+    part = _group(ids[used], tags[used], groups)
     by = np.argsort(part, kind="stable")
     counts = np.bincount(doc, minlength=len(used))
     ends = np.cumsum(counts)
@@ -156,7 +160,7 @@ def _reduce(groups: int) -> Callable[[pa.Table], pa.Table]:
 
 
 def _write(window: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("kept_sha256", pa.string())])
+    schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("kept_sha256", pa.string()), ("copies", pa.int64())])
 
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
         removed: dict[tuple[int, int], list[np.ndarray]] = {}
@@ -170,7 +174,7 @@ def _write(window: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 removed.setdefault((i, t), []).append(at)
         out: list[tuple] = []
         column = texts.column("id").combine_chunks()
-        shown, ids = column.to_pylist(), _ids(column).tolist()
+        shown, ids, copies = column.to_pylist(), _ids(column).tolist(), texts.column("copies").to_pylist()
         data, at = np.zeros(0, np.uint8), np.zeros(1, np.int64)
         for first, end, data, at in chunks(texts.column("text")):
             for k in range(first, end):
@@ -183,7 +187,7 @@ def _write(window: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                     edge = np.bincount(starts, minlength=n + 1) - np.bincount(starts + window, minlength=n + 1)
                     words = list(compress(words, (np.cumsum(edge[:n]) == 0).tolist()))
                 kept = b" ".join(words)
-                out.append((shown[k], n, n - len(words), kept, hashlib.sha256(kept).hexdigest()))
+                out.append((shown[k], n, n - len(words), kept, hashlib.sha256(kept).hexdigest(), copies[k]))
         columns = list(zip(*out)) if out else [[] for _ in schema]
         arrays = [pa.array(c, pa.binary() if f.name == "kept" else f.type) for c, f in zip(columns, schema)]
         arrays[3] = arrays[3].cast(pa.string())
@@ -199,12 +203,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined by one space) and ``kept_sha256``. Other columns are not carried along, so their names
     cannot clash. Null or empty text, and text shorter than a window, loses nothing. A null id
     counts as larger than all others; rows with the same id never remove each other's words, whether
-    they are copies or not. An empty table gives an empty result.
+    they are copies or not. Rows without an id are spread by their texts, and equal ones of them are
+    worked on once. An empty table gives an empty result.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    size = text_bytes(source, "text")
+    size, unnamed = source.selectExpr("coalesce(sum(octet_length(text)), 0)", "count_if(id is null)").first()
     ranges, groups = parts_for(size, RANGE_BYTES, 64), parts_for(size, GROUP_BYTES, 64) | 1
-    entries = source.mapInArrow(_map(window, ranges, groups), _FOUND_SQL)
+    if unnamed:
+        once = source.where("id is null").groupBy("id", "text").agg(F.count("*").alias("copies"))
+        source = source.where("id is not null").withColumn("copies", F.lit(1).cast("long")).unionByName(once)
+    else:
+        source = source.withColumn("copies", F.lit(1).cast("long"))
+    entries = source.select("id", "text").mapInArrow(_map(window, ranges, groups), _FOUND_SQL)
     # Settled windows only pass through this shuffle; any range will do for them.
     keyed = entries.select(
         "kind", F.when(F.col("kind") == 0, F.col("part")).otherwise(F.col("part") % ranges).alias("range"),
@@ -213,9 +223,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = keyed.groupBy("range").applyInArrow(_reduce(groups), _FOUND_SQL).select(
         F.col("part").alias("g"), "n", "docs", "blob"
     )
-    texts = source.selectExpr("id", "text", _GROUP_SQL.format(groups))
-    return (
-        texts.groupBy("g").cogroup(found.groupBy("g"))
-        .applyInArrow(_write(window), "id long, n_words long, n_removed long, kept string, kept_sha256 string")
-        .withColumnRenamed("id", id_col)
+    texts = source.selectExpr("*", _KEY_SQL).selectExpr("id", "text", "copies", _GROUP_SQL.format(groups))
+    written = texts.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(
+        _write(window), "id long, n_words long, n_removed long, kept string, kept_sha256 string, copies long"
     )
+    if unnamed:  # in two steps, so that no array is long
+        written = written.withColumn("step", F.expr(f"explode(sequence(1L, copies, {COPIES}L))")).withColumn(
+            "copy", F.expr(f"explode(sequence(step, least(copies, step + {COPIES - 1})))")
+        )
+    return written.select(F.col("id").alias(id_col), "n_words", "n_removed", "kept", "kept_sha256")
