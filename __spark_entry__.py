@@ -20,6 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from expected_sql import EXPECTED  # noqa: E402
 from tributary.operators import explode_parquet_payloads  # noqa: E402
 from tributary.plans import gold, refresh, silver  # noqa: E402
+from tributary.plans.star import StarTables, star_of_owners  # noqa: E402
 from tributary.plans.star import star_transactions as star  # noqa: E402
 from tributary.schemas import BRONZE, RAW, REJECTS  # noqa: E402
 from tributary.sources import (  # noqa: E402
@@ -72,7 +73,7 @@ try:
 except ImportError as missing:
     print(f"without training-data queries: {missing}", file=sys.stderr)
 
-AS_OF = date(2026, 1, 1)
+AS_OF, RISK = date(2026, 1, 1), "HIGH"
 #: Batches that a stream is fed with, each by a new run from the checkpoint of the one before.
 SLICES = 3
 
@@ -228,16 +229,30 @@ def maintained_branch_facts(spark: SparkSession, folder: str) -> DataFrame:
     return _stacked(tables, {"country_region": "string", "city": "string"}, ("total_branches", "avg_branch_age_days"))
 
 
-def star_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    return _comparable(
-        star(
-            _transactions(spark, folder),
-            gold.dim_account(_accounts(spark, folder)),
-            gold.dim_customer(_customers(spark, folder)),
-        )
+def _star_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return (
+        _transactions(spark, folder),
+        gold.dim_account(_accounts(spark, folder)),
+        gold.dim_customer(_customers(spark, folder)),
     )
 
 
+def star_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    return _comparable(star(*_star_sides(spark, folder)))
+
+
+def star_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """J3 from tables that are bucketed by account."""
+    tables = StarTables(spark, scratch_folder(spark))
+    tables.write(*_star_sides(spark, folder))
+    return _comparable(tables.read())
+
+
+def star_of_high_risk(spark: SparkSession, folder: str) -> DataFrame:
+    """J3 filtered by a dimension."""
+    return _comparable(star_of_owners(*_star_sides(spark, folder), F.col("risk_level") == RISK))
+
+
 def ingest_nonblank(spark: SparkSession, folder: str) -> DataFrame:
     return visible_events(sample.events(spark, folder))
 
@@ -417,6 +432,8 @@ def queries() -> dict[str, Query]:
         "fact_transaction_daily": _on(_transactions, gold.fact_transaction_daily),
         "transaction_tables": transaction_tables,
         "star_transactions": star_transactions,
+        "star_bucketed": star_bucketed,
+        "star_of_high_risk": star_of_high_risk,
         "preview_transactions": _on(
             _transactions, lambda df: gold.preview(gold.dim_transaction(df), "Transaction_ID")
         ),

@@ -373,6 +373,8 @@ EXPECTED = {
     "fact_transaction_daily": _with(TRANSACTIONS, DAILY),
     "transaction_tables": _with(TRANSACTIONS, TRANSACTION_TABLES),
     "star_transactions": _with(f"{ACCOUNTS.strip()},{TRANSACTIONS},{CUSTOMERS}", STAR),
+    "star_bucketed": _with(f"{ACCOUNTS.strip()},{TRANSACTIONS},{CUSTOMERS}", STAR),
+    "star_of_high_risk": _with(f"{ACCOUNTS.strip()},{TRANSACTIONS},{CUSTOMERS}", f"{STAR} WHERE a.risk_level = 'HIGH'"),
     "preview_transactions": _with(
         TRANSACTIONS,
         """SELECT Transaction_ID, Account_ID, Transaction_Type, Currency, Description, transaction_ts

@@ -10,7 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.plans import gold, refresh, silver
-from tributary.plans.star import star_transactions
+from tributary.operators import may_be_among
+from tributary.operators.keyset import filter_words
+from tributary.plans.star import OWNED, StarTables, star_of_owners, star_transactions
 from tributary.schemas import ACCOUNT_BODY, BRONZE, SILVER
 from tributary.sources import read_bronze, read_table, sample, write_table
 
@@ -252,6 +254,85 @@ def test_star_keeps_every_transaction_also_with_hot_keys(spark, transactions):
     assert values(plain) == values(hot)
 
 
+@pytest.fixture
+def star_sides(spark, transactions):
+    accounts = gold.dim_account(silver.silver_accounts(sample.bronze_accounts(spark, SF)))
+    customers = gold.dim_customer(silver.silver_customers(sample.bronze_customers(spark, SF)), LOADED_AT)
+    return transactions, accounts, customers
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    """No side is small enough to be broadcast by Spark itself."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_parts": 500, "min_part_rows": 3}])
+def test_a_bucketed_star_is_read_without_a_shuffle(spark, star_sides, shuffled_joins, tmp_path, limits):
+    tables = StarTables(spark, str(tmp_path), buckets=4)
+    for _ in range(2):  # written again, the tables are replaced
+        tables.write(*star_sides, **limits)
+    star = tables.read()
+    assert values(star) == values(star_transactions(*star_sides))
+    plan = plan_text(star)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+    assert plan.split("== Initial Plan ==")[0].count("SelectedBucketsCount: 4 out of 4") == 2
+    some = tables.read(F.col("Currency") == "USD")
+    assert "EqualTo(Currency,USD)" in plan_text(some)
+    assert values(some) == values(star.filter("Currency = 'USD'"))
+
+
+def test_a_hot_account_is_split_over_buckets(spark, tmp_path):
+    """Two thirds of the transactions, all alike, are of one account; others have none or an unknown one."""
+    ids = [("hot", 6000), ("b", 2000), ("unknown", 500), (None, 500)]
+    facts = None
+    for account, n in ids:
+        part = spark.range(0, n, 1, 16).select(
+            F.lit("t").alias("Transaction_ID"), F.lit(account).cast("string").alias("Account_ID"), F.lit("x").alias("Transaction_Type"),
+            F.lit(1.0).cast("float").alias("Amount"), F.lit("USD").alias("Currency"), F.lit("d").alias("Description"), F.lit("2024-01-01").alias("Transaction_Date"),
+        )
+        facts = part if facts is None else facts.union(part)
+    accounts = spark.createDataFrame([("hot", "c", "s", "active", "LOW"), ("b", "c", "s", "active", "HIGH")], "account_id string, customer_id string, account_type string, status string, risk_level string")
+    customers = spark.createDataFrame([("c", "N", "C", "L")], "Customer_ID string, Full_Name string, City string, Country string")
+    tables = StarTables(spark, str(tmp_path), buckets=16)
+    tables.write(facts, accounts, customers, max_parts=200, min_part_rows=200)
+    counts = Counter({r.risk_level: r["count"] for r in tables.read().groupBy("risk_level").count().collect()})
+    assert counts == {"LOW": 6000, "HIGH": 2000, None: 1000}
+    largest = spark.table(f"{tables.name}_facts").groupBy(F.expr("input_file_name()")).count().agg(F.max("count")).first()[0]
+    assert largest < 6000 / 2
+
+
+@pytest.mark.parametrize("owners", ["risk_level = 'HIGH'", "City is not null and risk_level <> 'LOW'", "City is null", "cast(null as boolean)"])
+def test_a_star_of_some_owners(star_sides, owners):
+    star = star_transactions(*star_sides)
+    # An account that exists has a risk level.
+    expected = values(star.filter("risk_level is not null").filter(owners))
+    assert values(star_of_owners(*star_sides, F.expr(owners))) == expected
+    assert star_of_owners(*star_sides, F.expr(owners)).columns[-len(OWNED):] == list(OWNED)
+
+
+def test_few_facts_of_other_keys_reach_the_join(spark):
+    facts = spark.range(100_000).select(F.col("id").cast("string").alias("k"))
+    keys = facts.filter("cast(k as int) % 100 = 7").unionAll(spark.sql("SELECT cast(null AS string)"))
+    near = may_be_among(facts.unionAll(spark.sql("SELECT cast(null AS string)")), keys, "k")
+    assert near.join(keys, "k").count() == 1000
+    assert near.count() < 1000 + 0.05 * 100_000
+    assert may_be_among(facts, keys.limit(0), "k").count() == 0
+    # A filter that is too small lets more pass, and loses none.
+    full = may_be_among(facts, keys, "k", max_bytes=64)
+    assert near.count() < full.count() and full.join(keys, "k").count() == 1000
+    assert [filter_words(n, 1 << 20) for n in (0, 7, 8, 1000, 10**9)] == [1, 1, 2, 128, 1 << 17]
+    with pytest.raises(TypeError):
+        may_be_among(facts, spark.range(3).withColumnRenamed("id", "k"), "k")
+
+
 # --- refresh ---------------------------------------------------------------------------------
 
 GOLD_SCHEMAS = {
