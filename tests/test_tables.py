@@ -309,7 +309,7 @@ def test_a_hot_account_is_split_over_buckets(spark, tmp_path):
     assert largest < 6000 / 2
 
 
-@pytest.mark.parametrize("owners", ["risk_level = 'HIGH'", "City is not null and risk_level <> 'LOW'", "City is null", "cast(null as boolean)"])
+@pytest.mark.parametrize("owners", ["risk_level = 'HIGH'", "City is not null and risk_level <> 'LOW'", "City is null", "false", "cast(null as boolean)"])
 def test_a_star_of_some_owners(star_sides, owners):
     star = star_transactions(*star_sides)
     # An account that exists has a risk level.
