@@ -54,6 +54,7 @@ from tributary.streaming import (  # noqa: E402
     visible_events,
 )
 from tributary.streaming.envelope import TARGET  # noqa: E402
+from tributary.streaming.exactly_once import read_landed_once, start_landing_once  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -267,9 +268,9 @@ def _landing(spark: SparkSession, folder: str) -> str:
     return landing
 
 
-def _landed_rows(spark: SparkSession, landing: str) -> DataFrame:
+def _landed_rows(spark: SparkSession, landing: str, read: Callable[..., DataFrame] = read_landing) -> DataFrame:
     """All landing tables in one, with the table that each row is in."""
-    tables = [read_landing(spark, landing, t).withColumn(TARGET, F.lit(t)) for t in [*BRONZE, REJECTS]]
+    tables = [read(spark, landing, t).withColumn(TARGET, F.lit(t)) for t in [*BRONZE, REJECTS]]
     return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), tables)
 
 
@@ -293,6 +294,16 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return _landed_rows(spark, f"{root}/landing")
 
 
+def stream_landing_once(spark: SparkSession, folder: str) -> DataFrame:
+    """S3 by a sink with a ledger: the rows of all landing tables after three runs of the stream."""
+    root, events = scratch_folder(spark), sample.events(spark, folder)
+    for number in range(SLICES):
+        sample.slice_of(events, number, SLICES).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        start_landing_once(stream, f"{root}/landing", trigger=ONCE).awaitTermination()
+    return _landed_rows(spark, f"{root}/landing", read_landed_once)
+
+
 def parquet_payloads(spark: SparkSession, folder: str) -> DataFrame:
     columns = BRONZE["transactions"].names[:-1]
     rows = explode_parquet_payloads(sample.transaction_payloads(spark, folder), "payload", columns)
@@ -452,6 +463,7 @@ def queries() -> dict[str, Query]:
         "fact_transaction_daily_by_day": fact_transaction_daily_by_day,
         "bronze_by_ledger": bronze_by_ledger,
         "stream_landing_rows": stream_landing_rows,
+        "stream_landing_once": stream_landing_once,
         "stream_dedup": stream_dedup,
         "customer_latest_stream": _latest_by_stream("customers", sample.bronze_customers),
         "account_latest_stream": _latest_by_stream("accounts", sample.bronze_accounts),

@@ -457,6 +457,7 @@ EXPECTED["bronze_copy"] = LANDED
 EXPECTED["stream_landing_rows"] = f"{LANDED} UNION ALL BY NAME SELECT 'rejects' AS target, * FROM ({EXPECTED['ingest_rejects']})"
 # What was sent again lands once.
 EXPECTED["stream_dedup"] = EXPECTED["stream_landing_rows"]
+EXPECTED["stream_landing_once"] = EXPECTED["stream_landing_rows"]
 EXPECTED["bronze_by_ledger"] = LANDED
 EXPECTED["fact_transaction_daily_by_day"] = EXPECTED["fact_transaction_daily"]
 EXPECTED["quality_flags"] = _with(
