@@ -9,7 +9,8 @@ from types import SimpleNamespace
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import DataFrameWriter
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
 
 from tributary.plans.silver import silver_transactions
@@ -241,27 +242,70 @@ def test_landing_feeds_silver(spark, tmp_path):
     assert [tuple(r) for r in rows.collect()] == [("T", 2.5)]
 
 
-def test_database_sink_appends_each_table_with_its_columns(spark, tmp_path, monkeypatch):
-    """Everything but the connection: the writer is replaced by one that collects."""
-    written = {}
+class Database:
+    """Stands in for the connection only: tables are lists, an append commits row by row and may die on the way."""
 
-    def append(self, url, table, mode, properties):
-        assert (url, mode, properties) == ("jdbc:x", "append", {"user": "u"})
-        written[table] = (self._df.columns, [tuple(r) for r in self._df.collect()])
+    def __init__(self, monkeypatch, spark):
+        self.tables, self.dies_after = {}, None
+        database = self
 
-    monkeypatch.setattr(DataFrameWriter, "jdbc", append)
-    write_events(tmp_path / "in", "1.json", '{"amount":1}', "[]")
-    start_landing(
+        def append(self, url, table, mode, properties):
+            assert (url, mode, properties) == ("jdbc:x", "append", {"user": "u"})
+            columns, rows = database.tables.setdefault(table, (self._df.schema, []))
+            for row in self._df.collect():
+                if database.dies_after == 0:
+                    database.dies_after = None
+                    raise RuntimeError("connection lost")
+                rows.append(tuple(row))
+                database.dies_after = database.dies_after and database.dies_after - 1
+
+        def read(self, url, table, properties):
+            assert (url, properties) == ("jdbc:x", {"user": "u"})
+            schema, rows = database.tables[table]
+            return spark.createDataFrame(rows, schema)
+
+        monkeypatch.setattr(DataFrameWriter, "jdbc", append)
+        monkeypatch.setattr(DataFrameReader, "jdbc", read)
+
+
+def land_in_database(spark, tmp_path, **options):
+    return start_landing(
         event_folder(spark, tmp_path / "in"),
         str(tmp_path / "landing"),
         trigger=DRAIN,
-        sink=database_sink("jdbc:x", {"user": "u"}),
-    ).awaitTermination()
-    assert {t: columns for t, (columns, _) in written.items() if t != REJECTS} == {
-        table: schema.names for table, schema in BRONZE.items()
+        sink=database_sink("jdbc:x", {"user": "u"}, **options),
+    )
+
+
+@pytest.mark.parametrize("batch_column", [None, "landed_batch"])
+def test_database_sink_appends_each_table_with_its_columns(spark, tmp_path, monkeypatch, batch_column):
+    database = Database(monkeypatch, spark)
+    write_events(tmp_path / "in", "1.json", '{"amount":1}', "[]")
+    land_in_database(spark, tmp_path, batch_column=batch_column).awaitTermination()
+    own, batch = ([batch_column], (0,)) if batch_column else ([], ())
+    assert {t: schema.names for t, (schema, _) in database.tables.items() if t != REJECTS} == {
+        table: [*schema.names, *own] for table, schema in BRONZE.items()
     }
-    assert written["transactions"][1] == [(None, None, None, "1", None, None, None, None)]
-    assert written[REJECTS] == (["topic", "raw_data"], [(TX, "[]")])
+    assert database.tables["transactions"][1] == [(None, None, None, "1", None, None, None, None, *batch)]
+    schema, rows = database.tables[REJECTS]
+    assert (schema.names, rows) == (["topic", "raw_data", *own], [(TX, "[]", *batch)])
+
+
+@pytest.mark.parametrize("dies_after", [0, 1, 3, 5])
+def test_database_sink_lands_nothing_twice_when_a_batch_is_run_again(spark, tmp_path, monkeypatch, dies_after):
+    """Bodies that repeat within the batch all land; those of the attempt that died do not land again."""
+    bodies = ['{"amount":1}', '{"amount":1}', "oops", "oops", "[]", "[]"]
+    database = Database(monkeypatch, spark)
+    write_events(tmp_path / "in", "1.json", *bodies)
+    database.dies_after = dies_after
+    with pytest.raises(StreamingQueryException):
+        land_in_database(spark, tmp_path).awaitTermination()
+    land_in_database(spark, tmp_path).awaitTermination()
+    write_events(tmp_path / "in", "2.json", '{"amount":1}')
+    land_in_database(spark, tmp_path).awaitTermination()
+    landed = [(row[3] or row[-2], row[-1]) for row in database.tables["transactions"][1]]
+    assert sorted(landed) == [("1", 0), ("1", 0), ("1", 1), ("oops", 0), ("oops", 0)]
+    assert database.tables[REJECTS][1] == [(TX, "[]", 0)] * 2
 
 
 def test_topics_are_read_from_their_beginning(spark):
