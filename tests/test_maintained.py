@@ -22,7 +22,7 @@ from tributary.streaming import (
     start_changes,
     stateful_session,
 )
-from tributary.streaming.changes import _newest_of_batch
+from tributary.streaming.changes import BUCKETS, _newest_of_batch
 
 ONCE = {"availableNow": True}
 SCHEMA = "k string, at timestamp, x double, note string"
@@ -98,6 +98,25 @@ def test_a_hot_key_is_cut_down_before_the_shuffle(spark):
     assert plain(kept.collect()) == plain(keep_latest(rows, ["k"], ["at"]).collect())
 
 
+def test_many_keys_share_state_and_calls(spark, feed, tmp_path):
+    """Keys meet in buckets, so that neither state nor calls of Python are one a key; NULL, NaN and signed zeros are keys."""
+    schema, keys = "k double, at timestamp, x double, note string", 3 * BUCKETS
+    odd, every, states = [None, float("nan"), 0.0, -0.0], [], []
+    for day in range(2):
+        at = datetime(2024, 1, 1) + timedelta(days=day)
+        rows = [(k, at, 1.0, "é") for k in odd] + [(float(k), at, None if k % 3 else float(day), None) for k in range(1 + day * keys // 2, keys)]
+        feed(rows, schema)
+        every += rows
+        stream = stateful_session(spark).readStream.schema(schema).parquet(f"{tmp_path}/in")
+        query = start_changes(latest_changes(stream, ["k"], ["at"]), str(tmp_path), ONCE)
+        query.awaitTermination()
+        states.append(query.recentProgress[-1].stateOperators[0].numRowsTotal)
+    found = current_rows(read_changes(spark, tmp_path, spark.createDataFrame([], schema).schema), ["k"])
+    expected = keep_latest(spark.createDataFrame(every, schema), ["k"], ["at"])
+    assert plain(found.collect()) == plain(expected.collect())
+    assert found.count() == keys + 2 and max(states) <= BUCKETS < keys
+
+
 ACCOUNT = "account_id string, customer_id string, account_type string, balance double, currency string, created_at timestamp, status string"
 
 
